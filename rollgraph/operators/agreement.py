@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from rollgraph.operators.similar import similar_values
 from rollgraph.operators.skew import heavy_keys, row_tag, salted_join
+from rollgraph.session import cut_lineage
 
 MISSING, DIFFERENT = -1, 0
 COUNT = "decimal(38,0)"
@@ -218,6 +219,8 @@ def agreement_groups(records: DataFrame, settings: LinkSettings) -> DataFrame:
     """
     fixed, free = settings.fixed, settings.free
     counted = _at_least(records, settings)
+    if any(settings.comparison(c).similarity is not None for c in free):
+        counted = cut_lineage(counted)  # read three times from here on
     n = F.col("_n").cast("decimal(19,0)")
     base = counted.where(_allowed(settings, lambda c: F.col(f"_q_{c}") == _EQUAL)).where("_n > 1")
     columns = [F.col(c) for c in fixed]

@@ -20,6 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from rollgraph.operators.components import cluster_pairs
 from rollgraph.operators.skew import heavy_from_counts, heavy_keys, pairs_within, salted_join
+from rollgraph.session import cut_lineage
 
 GRAM = 3
 STRIPPED = r"[,\-./]|\s"
@@ -119,7 +120,7 @@ def similar_strings(strings: DataFrame, threshold: float) -> DataFrame:
 
     ``strings`` is (s, copies), one row per distinct string.
     """
-    vectors = _vectors(strings)
+    vectors = cut_lineage(_vectors(strings))
     headed = vectors.withColumn(
         "head", F.slice("grams", F.lit(1), _prefix_length(F.col("weights"), threshold))
     )
@@ -151,7 +152,7 @@ def group_similar(
     Rows without a string, or whose string is like no other, stand alone (with
     their copies).
     """
-    strings = (
+    strings = cut_lineage(
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("s"))
         .agg(F.count(F.lit(1)).alias("copies"), F.min(id_column).alias("first_id"))

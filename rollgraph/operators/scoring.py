@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.operators.agreement import LinkSettings, agreement_groups
+from rollgraph.session import cut_lineage
 
 FLOOR = 1e-6
 COPIES = 8
@@ -203,5 +204,6 @@ def scored_comparisons(
     """
     groups = agreement_groups(records, settings)
     if weights is None:
+        groups = cut_lineage(groups)
         weights = estimate_em(pattern_counts(groups, settings), settings)
     return tf_adjust(score(groups, settings, weights), records, settings, weights)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from rollgraph.functions.similarity import jaro_winkler
 from rollgraph.operators.skew import pairs_within
+from rollgraph.session import cut_lineage
 
 # Letters from frequent to rare; only the speed depends on it.
 COMMON_FIRST = " EATOINSRHLDCUMFPGWYBVKXJQZ"
@@ -52,7 +53,7 @@ def similar_values(
     prefix = F.greatest(
         F.lit(1), F.least(size, size - F.ceil(F.lit(need - 1) * size - F.lit(1e-9)) + 1)
     ).cast("int")
-    distinct = (
+    distinct = cut_lineage(
         values.select(*block, F.col(column).alias("v"))
         .where(F.col("v").isNotNull() & (F.col("v") != ""))
         .distinct()

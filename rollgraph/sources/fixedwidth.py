@@ -129,3 +129,24 @@ def write_tables(registry: Registry, path: str) -> None:
     for name, table in registry.tables.items():
         table.write.mode("overwrite").parquet(f"{path}/{name}")
     registry.rejects.write.mode("overwrite").parquet(f"{path}/rejects")
+
+
+def render_layout(df: DataFrame, code: str, values: dict[str, Column]) -> DataFrame:
+    """Full-length lines of one layout; fields without a value are padding.
+
+    The inverse of ``parse_layout``: numbers and dates are filled with zeros on
+    the left, text with spaces on the right.
+    """
+    parts = []
+    for f in layout_fields(RECORD_TYPES[code][1]):
+        width = f.end - f.start
+        if f.name == "layout_code":
+            parts.append(F.lit(code))
+        elif f.kind == "C" or f.name == "filler":
+            text = values.get(f.name, F.lit("")).cast("string")
+            parts.append(F.rpad(F.coalesce(text, F.lit("")), width, " "))
+        else:
+            value = values.get(f.name, F.lit("0"))
+            text = F.date_format(value, "yyyyMMdd") if f.kind == "D" and f.name in values else value
+            parts.append(F.lpad(F.coalesce(text.cast("string"), F.lit("0")), width, "0"))
+    return df.select(F.concat(*parts).alias("value"))
