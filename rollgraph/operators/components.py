@@ -10,27 +10,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollgraph.operators.skew import heavy_from_counts, salted_join
+from rollgraph.operators.skew import ROWS_PER_SALT, heavy_from_counts, salted_join
 from rollgraph.session import cut_lineage
 
 
-def _star(neighbours: DataFrame) -> DataFrame:
+def _star(neighbours: DataFrame, split: bool) -> DataFrame:
     """Attach to each (u, v) the least node ``m`` among u and its neighbours."""
     least = neighbours.groupBy("u").agg(
         F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("_n")
     )
-    heavy = heavy_from_counts(least, ["u"], "_n")
+    heavy = heavy_from_counts(least, ["u"], "_n") if split else None
     return salted_join(neighbours, least.select("u", "m"), ["u"], heavy, ["v"])
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, split: bool) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    starred = _star(both, split).where("v > u")
+    return starred.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, split: bool) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    starred = _star(down)
+    starred = _star(down, split)
     links = starred.select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = starred.select("u", F.col("m").alias("v"))
     return links.unionByName(own).where("u <> v").distinct()
@@ -56,7 +57,11 @@ def cluster_pairs(pairs: DataFrame, src: str = "id_l", dst: str = "id_r") -> Dat
     )
     before = _fingerprint(edges)
     while True:
-        edges = cut_lineage(_small_star(_large_star(edges).distinct()))
+        # No node can have more edges than there are: without a million of them
+        # there is no hub to split.
+        split = before[0] > ROWS_PER_SALT
+        large = _large_star(edges, split)
+        edges = cut_lineage(_small_star(cut_lineage(large) if split else large, split))
         after = _fingerprint(edges)
         if after == before:
             break

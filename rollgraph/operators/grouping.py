@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -28,11 +29,18 @@ ROUNDING = 1e-9
 
 
 def _grams(text: Column) -> Column:
-    last = F.length(text) - (GRAM - 1)
-    return F.when(
-        last >= 1,
-        F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(GRAM))),
-    )
+    """3-grams as integers: three code points of 21 bits each."""
+
+    def packed(points: Column) -> Column:
+        def gram(at: Column) -> Column:
+            first, second, third = (F.get(points, at + i) for i in range(GRAM))
+            return F.shiftleft(first, 42) + F.shiftleft(second, 21) + third
+
+        starts = F.sequence(F.lit(0), F.size(points) - GRAM)
+        return F.when(F.size(points) >= GRAM, F.transform(starts, gram))
+
+    points = F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("bigint"))
+    return F.get(F.transform(F.array(points), packed), F.lit(0))
 
 
 def _vectors(strings: DataFrame) -> DataFrame:
@@ -59,7 +67,7 @@ def _vectors(strings: DataFrame) -> DataFrame:
     )
     # One list per string, as long as the string itself.
     listed = weighed.groupBy("s").agg(
-        F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v")
+        F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("v")
     )
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
     return listed.withColumn("norm", norm).select(
@@ -84,35 +92,39 @@ def _prefix_length(weights: Column, threshold: float) -> Column:
     )
 
 
-@F.pandas_udf(DoubleType())
-def _cosine(
-    grams_l: pd.Series, weights_l: pd.Series, grams_r: pd.Series, weights_r: pd.Series
-) -> pd.Series:
-    """Dot products of sparse vectors, a batch at a time."""
-    rows = len(grams_l)
-    if rows == 0:
-        return pd.Series([], dtype=float)
-
-    def flat(grams, weights):
-        sizes = grams.str.len().to_numpy()
-        return (
-            np.repeat(np.arange(rows), sizes),
-            np.concatenate(grams.to_list()),
-            np.concatenate(weights.to_list()).astype(float),
+def _entries(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and values of a list column, without touching single rows."""
+    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    return rows, lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _lengths_left(weights: Column, n: Column) -> Column:
+    """For each of the first ``n`` grams, the length of the vector from there on."""
+
+    def left(at: Column) -> Column:
+        before = F.aggregate(
+            F.slice(weights, F.lit(1), at), F.lit(0.0), lambda acc, w: acc + w * w
         )
+        return F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - before))
+
+    return F.transform(F.sequence(F.lit(0), n - 1), left)
+
 
-    row_l, gram_l, w_l = flat(grams_l, weights_l)
-    row_r, gram_r, w_r = flat(grams_r, weights_r)
-    codes = pd.factorize(np.concatenate([gram_l, gram_r]))[0].astype(np.int64)
-    width = int(codes.max()) + 1
+@F.arrow_udf(DoubleType())
+def _cosine(
+    grams_l: pa.Array, weights_l: pa.Array, grams_r: pa.Array, weights_r: pa.Array
+) -> pa.Array:
+    """Dot products of sparse vectors, a batch at a time."""
+    row_l, gram_l = _entries(grams_l)
+    row_r, gram_r = _entries(grams_r)
+    w_l, w_r = _entries(weights_l)[1], _entries(weights_r)[1]
+    codes, known = pd.factorize(np.concatenate([gram_l, gram_r]))
+    width = max(len(known), 1)
     key_l = row_l * width + codes[: len(gram_l)]
     key_r = row_r * width + codes[len(gram_l) :]
-    order = np.argsort(key_r, kind="stable")
-    at = np.searchsorted(key_r, key_l, sorter=order)
-    at = np.minimum(at, len(order) - 1)
-    hit = key_r[order[at]] == key_l
-    product = w_l[hit] * w_r[order[at[hit]]]
-    return pd.Series(np.bincount(row_l[hit], weights=product, minlength=rows))
+    shared, at_l, at_r = np.intersect1d(key_l, key_r, assume_unique=True, return_indices=True)
+    dots = np.bincount(shared // width, weights=w_l[at_l] * w_r[at_r], minlength=len(grams_l))
+    return pa.array(dots, type=pa.float64())
 
 
 def similar_strings(strings: DataFrame, threshold: float) -> DataFrame:
@@ -123,11 +135,16 @@ def similar_strings(strings: DataFrame, threshold: float) -> DataFrame:
     vectors = cut_lineage(_vectors(strings))
     headed = vectors.withColumn(
         "head", F.slice("grams", F.lit(1), _prefix_length(F.col("weights"), threshold))
-    )
-    keyed = headed.select("s", "head", F.explode("head").alias("gram"))
-    met = pairs_within(keyed, ["gram"], "s", ["head"])
-    once = F.get(F.array_intersect("head_l", "head_r"), F.lit(0)) == F.col("gram")
-    candidates = met.where(once).select(
+    ).withColumn("left", _lengths_left(F.col("weights"), F.size("head")))
+    keyed = headed.select(
+        "s", "head", F.explode(F.arrays_zip(F.col("head").alias("gram"), "left")).alias("at")
+    ).select("s", "head", "at.gram", "at.left")
+    met = pairs_within(keyed, ["gram"], "s", ["head", "left"])
+    # A pair counts where it meets first; no earlier gram is shared, so the
+    # lengths left from there on bound the cosine.
+    first = F.get(F.array_intersect("head_l", "head_r"), F.lit(0)) == F.col("gram")
+    reach = F.col("left_l") * F.col("left_r") >= threshold - ROUNDING
+    candidates = met.where(reach & first).select(
         F.least("s_l", "s_r").alias("a"), F.greatest("s_l", "s_r").alias("b")
     )
     left = vectors.select(

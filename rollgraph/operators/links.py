@@ -38,19 +38,12 @@ def resolve_names(links: DataFrame, index: DataFrame) -> DataFrame:
 
     A null name is a name like any other here.
     """
-    tagged = row_tag(links)
     company = index.select("name", F.col("filing_num").alias("company_filing"))
     officer = index.select(
         F.col("name").alias("business_name"), F.col("filing_num").alias("officer_filing")
     )
-    first = salted_join(
-        tagged, company, ["name"], heavy_keys(links, ["name"]), ["_row"], null_safe=True
-    )
-    both = salted_join(
-        first, officer, ["business_name"], heavy_keys(links, ["business_name"]), ["_row"],
-        null_safe=True,
-    )
-    return both.drop("_row")
+    first = salted_join(links, company, ["name"], None, null_safe=True)
+    return salted_join(first, officer, ["business_name"], None, null_safe=True)
 
 
 def match_endpoints(keyed: DataFrame, nodes: DataFrame, edge_type: str) -> DataFrame:
@@ -59,15 +52,10 @@ def match_endpoints(keyed: DataFrame, nodes: DataFrame, edge_type: str) -> DataF
     A filing held by several nodes gives the product of its matches; self-loops
     and parallel edges stay.
     """
-    tagged = row_tag(keyed)
     dst = nodes.select(F.col("filing_num").alias("company_filing"), F.col("id").alias("dst"))
     src = nodes.select(F.col("filing_num").alias("officer_filing"), F.col("id").alias("src"))
-    first = salted_join(
-        tagged, dst, ["company_filing"], heavy_keys(keyed, ["company_filing"]), ["_row"]
-    )
-    both = salted_join(
-        first, src, ["officer_filing"], heavy_keys(keyed, ["officer_filing"]), ["_row"]
-    )
+    first = salted_join(keyed, dst, ["company_filing"], None)
+    both = salted_join(first, src, ["officer_filing"], None)
     return both.select("src", "dst", F.lit(edge_type).alias("type"))
 
 
@@ -119,16 +107,10 @@ def build_agent_edges(
 
 def unresolved_links(links: DataFrame, index: DataFrame) -> DataFrame:
     """Links of which at least one name is not in the index."""
-    tagged = row_tag(links)
     company = index.select("name", F.lit(True).alias("_company"))
     officer = index.select(F.col("name").alias("business_name"), F.lit(True).alias("_officer"))
-    first = salted_join(
-        tagged, company, ["name"], heavy_keys(links, ["name"]), ["_row"], "left", True
-    )
-    both = salted_join(
-        first, officer, ["business_name"], heavy_keys(links, ["business_name"]), ["_row"],
-        "left", True,
-    )
+    first = salted_join(links, company, ["name"], None, how="left", null_safe=True)
+    both = salted_join(first, officer, ["business_name"], None, how="left", null_safe=True)
     return both.where(F.col("_company").isNull() | F.col("_officer").isNull()).select(*links.columns)
 
 

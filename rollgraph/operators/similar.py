@@ -25,20 +25,27 @@ from rollgraph.session import cut_lineage
 COMMON_FIRST = " EATOINSRHLDCUMFPGWYBVKXJQZ"
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, not at every mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _elements(text: Column) -> Column:
     """Characters numbered by occurrence, rare ones first, as sortable text."""
-    chars = F.array_sort(F.split(text, ""))
-
-    def element(char: Column, at: Column) -> Column:
-        nth = at - F.array_position(chars, char) + 2
-        rank = F.instr(F.lit(COMMON_FIRST), F.upper(char))
-        return F.concat(
-            F.lpad((F.lit(100000) - nth).cast("string"), 6, "0"),
-            F.lpad(F.when(rank == 0, 0).otherwise(F.lit(99) - rank).cast("string"), 2, "0"),
-            char,
-        )
 
-    return F.array_sort(F.transform(chars, element))
+    def numbered(chars: Column) -> Column:
+        def element(char: Column, at: Column) -> Column:
+            nth = at - F.array_position(chars, char) + 2
+            rank = F.instr(F.lit(COMMON_FIRST), F.upper(char))
+            return F.concat(
+                F.lpad((F.lit(100000) - nth).cast("string"), 6, "0"),
+                F.lpad(F.when(rank == 0, 0).otherwise(F.lit(99) - rank).cast("string"), 2, "0"),
+                char,
+            )
+
+        return F.transform(chars, element)
+
+    return F.array_sort(_once(F.array_sort(F.split(text, "")), numbered))
 
 
 def similar_values(

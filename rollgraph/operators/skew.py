@@ -52,8 +52,8 @@ def salted_join(
     big: DataFrame,
     dim: DataFrame,
     keys: Sequence[str],
-    heavy: DataFrame,
-    spread: Sequence[str],
+    heavy: DataFrame | None,
+    spread: Sequence[str] = (),
     how: str = "inner",
     null_safe: bool = False,
 ) -> DataFrame:
@@ -62,8 +62,17 @@ def salted_join(
     ``spread`` are columns of ``big`` that differ between the rows of one key;
     their hash picks the salt, so a retried task places its rows as before.
     ``how`` is ``inner`` or ``left``.  The result has the columns of ``big``
-    followed by the non-key columns of ``dim``.
+    followed by the non-key columns of ``dim``.  Without ``heavy`` the join is
+    a plain one, and splitting skewed partitions is left to adaptive execution:
+    for inputs that are themselves long plans, where counting keys beforehand
+    would run the plan twice.
     """
+    if heavy is None:
+        other = dim.select(
+            *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in dim.columns if c not in keys]
+        )
+        on = [_same(big[k], other[f"_r_{k}"], null_safe) for k in keys]
+        return big.join(other, on, how).drop(*[f"_r_{k}" for k in keys])
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     if how == "left" and not null_safe:
         # Rows without a key meet nothing; deal them out instead of piling them up.

@@ -109,7 +109,9 @@ def _bulk_lines(spark, sf):
         },
     )
     strays = table(spark, sf, "supplier").select(F.concat(F.lit("02"), "s_name").alias("value"))
-    return masters.unionByName(places).unionByName(officers).unionByName(strays)
+    lines = masters.unionByName(places).unionByName(officers).unionByName(strays)
+    # Exploded so that cutting a line does not build the line again per field.
+    return lines.select(F.explode(F.array("value")).alias("value"))
 
 
 @query(
