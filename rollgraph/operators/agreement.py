@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.operators.similar import similar_values
-from rollgraph.operators.skew import heavy_keys, row_tag, salted_join
+from rollgraph.operators.skew import heavy_from_counts, row_tag, salted_join
 from rollgraph.session import cut_lineage
 
 MISSING, DIFFERENT = -1, 0
@@ -117,7 +117,7 @@ def block_members(records: DataFrame, settings: LinkSettings) -> DataFrame:
         .where(F.col("block").isNotNull())
     )
     sizes = member.groupBy("rule", "block").agg(F.count(F.lit(1)).alias("size"))
-    heavy = heavy_keys(member, ["rule", "block"])
+    heavy = heavy_from_counts(sizes, ["rule", "block"], "size")
     sized = salted_join(row_tag(member), sizes, ["rule", "block"], heavy, ["_row"]).drop("_row")
     return sized.withColumn(
         "pairs", (F.col("size").cast(COUNT) * (F.col("size") - 1) / 2).cast(COUNT)
@@ -166,7 +166,9 @@ def _similar_counts(counted: DataFrame, records: DataFrame, settings: LinkSettin
     for c in fuzzy:
         near = similar_values(records, fixed, c, settings.comparison(c).similarity).drop("similarity")
         found[c] = near.unionByName(
-            near.select(*fixed, F.col("b").alias("a"), F.col("a").alias("b"))
+            near.select(
+                *fixed, F.col("value_r").alias("value_l"), F.col("value_l").alias("value_r")
+            )
         )
     parts = []
     for size in range(1, len(fuzzy) + 1):
@@ -181,7 +183,9 @@ def _similar_on(counted: DataFrame, settings: LinkSettings, chosen: Sequence[str
     others = [c for c in free if c not in chosen]
     left = side
     for c in chosen:
-        near = found[c].select(*fixed, F.col("a").alias(f"_k_{c}"), F.col("b").alias(f"_m_{c}"))
+        near = found[c].select(
+            *fixed, F.col("value_l").alias(f"_k_{c}"), F.col("value_r").alias(f"_m_{c}")
+        )
         left = left.join(near, [*fixed, f"_k_{c}"])
     right = side.select(
         *[F.col(c).alias(f"_r_{c}") for c in fixed],

@@ -53,35 +53,34 @@ def similar_values(
 ) -> DataFrame:
     """Distinct unequal values of ``column`` in one block with similarity >= threshold.
 
-    Columns: ``block``, ``a`` < ``b`` and ``similarity``; every pair once.
+    Columns: ``block``, ``value_l`` < ``value_r`` and ``similarity``; every pair once.
     """
     need = 3 * (threshold - 0.4) / 0.6 - 1
-    size = F.col("size")
+    size = F.size("_elements")
     prefix = F.greatest(
         F.lit(1), F.least(size, size - F.ceil(F.lit(need - 1) * size - F.lit(1e-9)) + 1)
     ).cast("int")
     distinct = cut_lineage(
-        values.select(*block, F.col(column).alias("v"))
-        .where(F.col("v").isNotNull() & (F.col("v") != ""))
+        values.select(*block, F.col(column).alias("_v"))
+        .where(F.col("_v").isNotNull() & (F.col("_v") != ""))
         .distinct()
-        .withColumn("elements", _elements(F.col("v")))
-        .withColumn("size", F.size("elements"))
-        .withColumn("head", F.slice("elements", F.lit(1), prefix))
+        .withColumn("_elements", _elements(F.col("_v")))
+        .withColumn("_head", F.slice("_elements", F.lit(1), prefix))
     )
-    keyed = distinct.select(*block, "v", "elements", "head", F.explode("head").alias("element"))
-    met = pairs_within(keyed, [*block, "element"], "v", ["elements", "head"])
-    first_shared = F.get(F.array_intersect("head_l", "head_r"), F.lit(0)) == F.col("element")
-    n_l, n_r = F.size("elements_l"), F.size("elements_r")
-    shared = F.size(F.array_intersect("elements_l", "elements_r"))
+    keyed = distinct.withColumn("_element", F.explode("_head"))
+    met = pairs_within(keyed, [*block, "_element"], "_v", ["_elements", "_head"])
+    first_shared = F.get(F.array_intersect("_head_l", "_head_r"), F.lit(0)) == F.col("_element")
+    n_l, n_r = F.size("_elements_l"), F.size("_elements_r")
+    shared = F.size(F.array_intersect("_elements_l", "_elements_r"))
     enough = shared * (n_l + n_r) >= F.lit(need) * n_l * n_r - F.lit(1e-6)
     return (
         met.where(first_shared)
         .where(enough)
         .select(
             *block,
-            F.least("v_l", "v_r").alias("a"),
-            F.greatest("v_l", "v_r").alias("b"),
+            F.least("_v_l", "_v_r").alias("value_l"),
+            F.greatest("_v_l", "_v_r").alias("value_r"),
         )
-        .withColumn("similarity", jaro_winkler("a", "b"))
+        .withColumn("similarity", jaro_winkler("value_l", "value_r"))
         .where(F.col("similarity") >= threshold)
     )

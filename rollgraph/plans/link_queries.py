@@ -131,8 +131,8 @@ def compare(spark, sf) -> DataFrame:
 
 
 @query(
-    ", v AS (SELECT DISTINCT brand, city, name FROM fx_link) SELECT l.brand, l.city, l.name AS a, "
-    "r.name AS b, round(jaro_winkler_similarity(l.name, r.name), 6) AS similarity "
+    ", v AS (SELECT DISTINCT brand, city, name FROM fx_link) SELECT l.brand, l.city, l.name AS value_l, "
+    "r.name AS value_r, round(jaro_winkler_similarity(l.name, r.name), 6) AS similarity "
     "FROM v l JOIN v r ON l.brand = r.brand AND l.city = r.city AND l.name < r.name "
     "WHERE jaro_winkler_similarity(l.name, r.name) >= 0.8",
     "fx_link",
