@@ -12,9 +12,11 @@ from conftest import rows
 from rollgraph.functions.similarity import jaro_winkler_batch
 from rollgraph.operators import agreement as agr
 from rollgraph.operators import scoring as sco
+from rollgraph.operators.pairs import list_pairs
 from rollgraph.operators.similar import similar_values
 from rollgraph.operators.skew import pairs_within
 from rollgraph.plans import dedupe
+from rollgraph.session import cut_lineage
 
 
 def jaro_winkler(a, b):
@@ -236,3 +238,20 @@ def test_unique_ids_are_stable_and_accept_nulls(frame):
     first = rows(dedupe.with_unique_id(df, "filing_num", "address1"), "unique_id")
     assert len(set(first)) == 3 and None not in {r[0] for r in first}
     assert first == rows(dedupe.with_unique_id(df, "filing_num", "address1"), "unique_id")
+
+
+@pytest.mark.parametrize("name", ["shipped", "two similar columns"])
+def test_listed_pairs_are_the_pairs_of_the_chosen_groups(frame, name):
+    settings = CASES[name]
+    data = records(random.Random(11), 80)
+    df = frame(data, SCHEMA).withColumn("filing_num", F.col("unique_id") + 1000)
+    weights = sco.starting_weights(settings)
+    scored = cut_lineage(sco.scored_comparisons(df, settings, weights))
+    for chosen in (scored, scored.where("match_probability > 0.5")):
+        listed = cut_lineage(list_pairs(chosen, df, settings))
+        want = int(chosen.agg(F.sum("n_pairs")).first()[0] or 0)
+        got = rows(listed, "unique_id_l", "unique_id_r", "filing_num_l")
+        assert len(got) == len(set(got)) == want
+        assert all(a < b and f == a + 1000 for a, b, f in got)
+    low = listed.agg(F.min("match_probability")).first()[0]
+    assert low is None or low > 0.5
