@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rollgraph.functions.columns import canonical_address, stable_id
 from rollgraph.operators.links import AT, OWNER
 from rollgraph.operators.select import non_empty
-from rollgraph.operators.skew import heavy_keys, row_tag, salted_join
+from rollgraph.operators.skew import ROW_TAG, heavy_keys, row_tag, salted_join
 
 ATTRIBUTES = (
     "address1", "address2", "city", "state", "zip_code", "zip_extension", "country", "pa",
@@ -60,7 +60,7 @@ def build_address_edges(
     tagged = row_tag(addresses)
     owners = business.select("filing_num", F.col("id").alias("src"))
     matched = salted_join(
-        tagged, owners, ["filing_num"], heavy_keys(addresses, ["filing_num"]), ["_row"]
+        tagged, owners, ["filing_num"], heavy_keys(addresses, ["filing_num"]), [ROW_TAG]
     )
     grouped = matched.where(F.col(group_key).isNotNull())
     edges = grouped.select(
@@ -78,23 +78,20 @@ def build_property_owner_edges(
     ``by_name`` maps names to nodes; an owner must match a name exactly and a
     missing owner matches nothing.
     """
-    keyed = roll.where(F.col("prop_owner").isNotNull()).select(
-        "prop_owner",
-        canonical_address(
-            F.col("mail_add_2"),
-            F.col("mail_add_3"),
-            F.col("mail_city"),
-            F.col("mail_zip"),
-            F.lit("US"),
-        ).alias("pa"),
+    pa = canonical_address(
+        F.col("mail_add_2"), F.col("mail_add_3"), F.col("mail_city"), F.col("mail_zip"), F.lit("US")
     )
-    tagged = row_tag(keyed.where(F.col("pa").isNotNull()))
+    owned = roll.where(F.col("prop_owner").isNotNull())
+    tagged = row_tag(owned).withColumn("pa", pa).select("prop_owner", "pa", ROW_TAG)
+    tagged = tagged.where(F.col("pa").isNotNull())
     owner = by_name.where(F.col("name").isNotNull()).select(
         F.col("name").alias("prop_owner"), F.col("node").alias("src")
     )
     places = addresses.where(F.col("pa").isNotNull()).select("pa", F.col("id").alias("dst"))
-    first = salted_join(tagged, owner, ["prop_owner"], heavy_keys(keyed, ["prop_owner"]), ["_row"])
-    both = salted_join(first, places, ["pa"], heavy_keys(keyed, ["pa"]), ["_row"])
+    first = salted_join(
+        tagged, owner, ["prop_owner"], heavy_keys(tagged, ["prop_owner"]), [ROW_TAG]
+    )
+    both = salted_join(first, places, ["pa"], heavy_keys(tagged, ["pa"]), [ROW_TAG])
     return both.select("src", "dst", F.lit(OWNER).alias("type"))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.operators.similar import similar_values
-from rollgraph.operators.skew import heavy_from_counts, row_tag, salted_join
+from rollgraph.operators.skew import ROW_TAG, heavy_from_counts, row_tag, salted_join
 from rollgraph.session import cut_lineage
 
 MISSING, DIFFERENT = -1, 0
@@ -118,7 +118,7 @@ def block_members(records: DataFrame, settings: LinkSettings) -> DataFrame:
     )
     sizes = member.groupBy("rule", "block").agg(F.count(F.lit(1)).alias("size"))
     heavy = heavy_from_counts(sizes, ["rule", "block"], "size")
-    sized = salted_join(row_tag(member), sizes, ["rule", "block"], heavy, ["_row"]).drop("_row")
+    sized = salted_join(row_tag(member), sizes, ["rule", "block"], heavy, [ROW_TAG]).drop(ROW_TAG)
     return sized.withColumn(
         "pairs", (F.col("size").cast(COUNT) * (F.col("size") - 1) / 2).cast(COUNT)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.operators.index import name_to_nodes
-from rollgraph.operators.skew import heavy_keys, row_tag, salted_join
+from rollgraph.operators.skew import ROW_TAG, heavy_keys, row_tag, salted_join
 
 OFFICER = "is_charter_officer_business"
 AGENT = "is_registered_agent_business"
@@ -15,10 +15,10 @@ AT = "is_at"
 
 
 def _company_links(master: DataFrame, links: DataFrame) -> DataFrame:
-    tagged = row_tag(links.select("filing_num", "business_name"))
+    tagged = row_tag(links, "filing_num", "business_name")
     heavy = heavy_keys(links, ["filing_num"])
     names = master.select("filing_num", "name")
-    return salted_join(tagged, names, ["filing_num"], heavy, ["_row"]).select(
+    return salted_join(tagged, names, ["filing_num"], heavy, [ROW_TAG]).select(
         "filing_num", "name", "business_name"
     )
 
@@ -74,12 +74,12 @@ def _link_edges(
         null_safe=True,
     )
     officer = by_name.select(F.col("name").alias("business_name"), F.col("node").alias("src"))
-    tagged = row_tag(links.select("filing_num", "business_name"))
+    tagged = row_tag(links, "filing_num", "business_name")
     first = salted_join(
-        tagged, company, ["filing_num"], heavy_keys(links, ["filing_num"]), ["_row"]
+        tagged, company, ["filing_num"], heavy_keys(links, ["filing_num"]), [ROW_TAG]
     )
     both = salted_join(
-        first, officer, ["business_name"], heavy_keys(links, ["business_name"]), ["_row"],
+        first, officer, ["business_name"], heavy_keys(links, ["business_name"]), [ROW_TAG],
         null_safe=True,
     )
     return both.select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.operators.select import gate_on_total
-from rollgraph.operators.skew import heavy_from_counts, heavy_keys, row_tag, salted_join
+from rollgraph.operators.skew import ROW_TAG, heavy_from_counts, heavy_keys, row_tag, salted_join
 
 
 class Graph(NamedTuple):
@@ -47,8 +47,8 @@ def repoint_edges(edges: DataFrame, mapping: DataFrame) -> DataFrame:
     tagged = row_tag(edges)
     src = mapping.select(F.col("id").alias("src"), F.col("survivor").alias("_src"))
     dst = mapping.select(F.col("id").alias("dst"), F.col("survivor").alias("_dst"))
-    first = salted_join(tagged, src, ["src"], heavy_keys(edges, ["src"]), ["_row"], "left")
-    both = salted_join(first, dst, ["dst"], heavy_keys(edges, ["dst"]), ["_row"], "left")
+    first = salted_join(tagged, src, ["src"], heavy_keys(edges, ["src"]), [ROW_TAG], "left")
+    both = salted_join(first, dst, ["dst"], heavy_keys(edges, ["dst"]), [ROW_TAG], "left")
     rest = [c for c in edges.columns if c not in ("src", "dst")]
     return both.select(
         F.coalesce("_src", "src").alias("src"), F.coalesce("_dst", "dst").alias("dst"), *rest

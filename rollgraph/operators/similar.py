@@ -31,21 +31,26 @@ def _once(value: Column, use) -> Column:
 
 
 def _elements(text: Column) -> Column:
-    """Characters numbered by occurrence, rare ones first, as sortable text."""
+    """Characters numbered by occurrence as sorted integers, rare ones first.
+
+    High bits for the occurrence (later ones are rarer), seven for the rank of
+    the letter, 21 for the code point.
+    """
 
     def numbered(chars: Column) -> Column:
         def element(char: Column, at: Column) -> Column:
             nth = at - F.array_position(chars, char) + 2
             rank = F.instr(F.lit(COMMON_FIRST), F.upper(char))
-            return F.concat(
-                F.lpad((F.lit(100000) - nth).cast("string"), 6, "0"),
-                F.lpad(F.when(rank == 0, 0).otherwise(F.lit(99) - rank).cast("string"), 2, "0"),
-                char,
+            rarity = F.when(rank == 0, 0).otherwise(F.lit(99) - rank)
+            return (
+                F.shiftleft((F.lit(1 << 30) - nth).cast("bigint"), 28)
+                + F.shiftleft(rarity.cast("bigint"), 21)
+                + F.ascii(char)
             )
 
         return F.transform(chars, element)
 
-    return F.array_sort(_once(F.array_sort(F.split(text, "")), numbered))
+    return F.sort_array(_once(F.sort_array(F.split(text, "")), numbered))
 
 
 def similar_values(

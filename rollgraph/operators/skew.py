@@ -97,13 +97,20 @@ def salted_join(
     return joined.select(*big.columns, *[c for c in dim.columns if c not in keys])
 
 
-def row_tag(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Tag rows so that equal rows can be spread too.
+ROW_TAG = "_row"
 
-    Apply it where a table is read: the number then depends only on the split
-    and the position in it, so a retried scan task repeats it.
+
+def row_tag(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` (default all) with ``_row``, a number to spread rows by.
+
+    A tag that came with the table (``read_table(..., tagged=True)``) is kept.
+    Else it is the hash of the row: the same whenever a lost task is run again,
+    whatever order its input arrives in.  Only full copies of one row share a
+    hash, and adaptive execution splits a partition that piles them up.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    kept = [c for c in (columns or df.columns) if c != ROW_TAG]
+    tag = F.col(ROW_TAG) if ROW_TAG in df.columns else F.xxhash64(*kept)
+    return df.select(*kept, tag.alias(ROW_TAG))
 
 
 def pairs_within(

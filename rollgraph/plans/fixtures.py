@@ -49,8 +49,16 @@ VIEWS = {
 TABLES = ("part", "lineitem", "customer", "nation", "supplier", "orders")
 
 
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One table; its footer is read once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The columns each step of the graph build and the linkage reads.
 SCANS = {
@@ -30,16 +31,21 @@ def read_table(
     table: str,
     columns: Sequence[str],
     suffix: str = "",
+    tagged: bool = False,
 ) -> DataFrame:
     """Named columns of a table below a folder, or of a database by JDBC options.
 
-    Give the JDBC options ``partitionColumn``, ``lowerBound``, ``upperBound``
+    ``tagged`` adds ``_row``, a number per row of the files, so that a skewed
+    join can spread even full copies of one row.  Give the JDBC options ``partitionColumn``, ``lowerBound``, ``upperBound``
     and ``numPartitions`` to let the executors read a database side by side.
     """
     if isinstance(root, dict):
         df = spark.read.format("jdbc").options(dbtable=table, **root).load()
     else:
         df = spark.read.parquet(f"{root.rstrip('/')}/{table}{suffix}")
+        if tagged:
+            place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+            return df.select(*columns, place.alias("_row"))
     return df.select(*columns)
 
 

@@ -203,3 +203,18 @@ def test_whole_graph_has_both_ends_of_every_edge(frame):
         assert ends.join(ids, "id", "left_anti").count() == 0
     types = {r["name"]: r["corp_type_id"] for r in made.business.collect()}
     assert types == {"ACME": "11", "BOLT": None, None: "13", "CARGO": "15", "DELTA": "15"}
+
+
+def test_copies_of_one_row_are_spread_by_their_place(spark, frame, tmp_path, monkeypatch):
+    from rollgraph.operators import skew
+    from rollgraph.sources.tables import read_table
+
+    monkeypatch.setattr(skew.heavy_keys, "__defaults__", (7,))
+    index, nodes = graph(frame)
+    copies = officers(frame).limit(1).crossJoin(frame([(i,) for i in range(40)], "n int")).drop("n")
+    copies.write.parquet(str(tmp_path / "officer"))
+    tagged = read_table(spark, str(tmp_path), "officer", ["filing_num", "business_name"], tagged=True)
+    assert tagged.select("_row").distinct().count() == 40
+    edges = lnk.build_officer_edges(master(frame), tagged, index, nodes)
+    assert edges.count() == 40
+    assert edges.columns == ["src", "dst", "type", "src_name", "dst_name"]
