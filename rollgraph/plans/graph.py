@@ -5,12 +5,14 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollgraph.operators.addresses import (
     build_address_edges,
     build_property_owner_edges,
     with_canonical,
 )
+from rollgraph.operators.grouping import group_similar
 from rollgraph.operators.index import (
     business_nodes,
     name_index,
@@ -20,6 +22,21 @@ from rollgraph.operators.index import (
 from rollgraph.operators.links import build_agent_edges, build_officer_edges, union_edges
 
 
+def group_addresses(
+    addresses: DataFrame, id_column: str = "row_no", min_similarity: float = 0.8
+) -> DataFrame:
+    """Addresses with ``pa`` and with ``gp``, the group of near-identical ones.
+
+    ``gp`` is text, for use as the group key of ``build_graph``; rows without
+    an address have none.
+    """
+    keyed = addresses if "pa" in addresses.columns else with_canonical(addresses)
+    grouped = group_similar(keyed, "pa", id_column, min_similarity)
+    return grouped.withColumn(
+        "gp", F.when(F.col("pa").isNotNull(), F.col("gp").cast("string"))
+    )
+
+
 class EntityGraph(NamedTuple):
     business: DataFrame
     address: DataFrame

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from rollgraph.operators import agreement as agr
 from rollgraph.operators import scoring as sco
-from rollgraph.operators.addresses import with_canonical
+from rollgraph.operators.addresses import build_address_edges, with_canonical
 from rollgraph.operators.components import cluster_pairs
 from rollgraph.operators.grouping import group_similar as group_strings
+from rollgraph.operators.index import business_nodes, name_index
 from rollgraph.operators.similar import similar_values as find_similar
 from rollgraph.plans import dedupe
 from rollgraph.plans.fixtures import view
+from rollgraph.plans.graph import group_addresses
 from rollgraph.plans.registry import query
 
 # Parts as records: candidates share brand and type, name and size are compared.
@@ -297,8 +299,7 @@ def components(spark, sf) -> DataFrame:
     return cluster_pairs(pairs)
 
 
-@query(
-    r""", strings AS (SELECT pa AS s, count(*) AS copies, min(row_no) AS first_id
+_GROUPED = r""", strings AS (SELECT pa AS s, count(*) AS copies, min(row_no) AS first_id
   FROM address_pa GROUP BY pa),
 cleaned AS (SELECT s, copies, regexp_replace(upper(s), '[,\-./]|\s', '', 'g') AS t FROM strings),
 grams AS (SELECT s, copies, substr(t, CAST(i AS INTEGER), 3) AS gram
@@ -316,9 +317,25 @@ ends AS (SELECT a, b FROM alike UNION SELECT b, a FROM alike),
 reach(id, node) AS (
   SELECT s, s FROM strings UNION SELECT r.id, e.b FROM reach r JOIN ends e ON e.a = r.node),
 named AS (SELECT id AS s, min(first_id) AS gp FROM reach JOIN strings ON s = node GROUP BY id)
-/*recursive*/ SELECT row_no, pa, gp FROM address_pa JOIN named ON s = pa""",
-    "address_pa",
-)
+/*recursive*/ """
+
+
+@query(_GROUPED + "SELECT row_no, pa, gp FROM address_pa JOIN named ON s = pa", "address_pa")
 def group_similar(spark, sf) -> DataFrame:
     addresses = with_canonical(view(spark, sf, "fx_address")).select("row_no", "pa")
     return group_strings(addresses, "pa", "row_no", 0.8)
+
+
+@query(
+    _GROUPED
+    + "SELECT md5(concat_ws('|', 'Address', '=' || gp)) AS id, CAST(gp AS VARCHAR) AS gp, "
+    "arg_max(address1, row_no) AS address1, arg_max(city, row_no) AS city, "
+    "arg_max(zip_code, row_no) AS zip_code FROM matched JOIN named ON s = pa GROUP BY gp",
+    "matched",
+)
+def grouped_address_nodes(spark, sf) -> DataFrame:
+    """Address nodes keyed by similarity group instead of by exact address."""
+    grouped = group_addresses(view(spark, sf, "fx_address"))
+    business = business_nodes(name_index(view(spark, sf, "fx_master")))
+    made = build_address_edges(grouped, business, ["row_no"], "gp")
+    return made.nodes.select("id", "gp", "address1", "city", "zip_code")
