@@ -78,8 +78,10 @@ def similar_values(
     n_l, n_r = F.size("_elements_l"), F.size("_elements_r")
     shared = F.size(F.array_intersect("_elements_l", "_elements_r"))
     enough = shared * (n_l + n_r) >= F.lit(need) * n_l * n_r - F.lit(1e-6)
+    near_length = F.least(n_l, n_r) >= F.lit(need - 1) * F.greatest(n_l, n_r) - F.lit(1e-6)
     return (
-        met.where(first_shared)
+        met.where(near_length)
+        .where(first_shared)
         .where(enough)
         .select(
             *block,

@@ -122,7 +122,7 @@ def _bulk_lines(spark, sf):
     "FROM part"
 )
 def multi_layout_master(spark, sf) -> DataFrame:
-    master = fixedwidth.parse_multi_layout(_bulk_lines(spark, sf)).tables["master"]
+    master = fixedwidth.parse_multi_layout(_bulk_lines(spark, sf)).table("master")
     return master.select(
         "layout_code", "filing_num", "status_id", "name", "creation_date", "formation_date",
         "foreign_state", "dba_name",
@@ -134,7 +134,7 @@ def multi_layout_master(spark, sf) -> DataFrame:
     "c_mktsegment AS city, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip_code FROM customer"
 )
 def multi_layout_address(spark, sf) -> DataFrame:
-    address = fixedwidth.parse_multi_layout(_bulk_lines(spark, sf)).tables["address"]
+    address = fixedwidth.parse_multi_layout(_bulk_lines(spark, sf)).table("address")
     return address.select("filing_num", "address1", "address2", "city", "zip_code")
 
 
@@ -143,8 +143,8 @@ def multi_layout_address(spark, sf) -> DataFrame:
     "l_returnflag AS officer_title, 'SUPPLIER ' || l_suppkey AS business_name FROM lineitem"
 )
 def multi_layout_officer(spark, sf) -> DataFrame:
-    tables = fixedwidth.parse_multi_layout(_bulk_lines(spark, sf)).tables
-    return tables["charter_officer_business"].select(
+    registry = fixedwidth.parse_multi_layout(_bulk_lines(spark, sf))
+    return registry.table("charter_officer_business").select(
         "filing_num", "officer_id", "officer_title", "business_name"
     )
 
@@ -181,7 +181,7 @@ def reconcile_totals(spark, sf) -> DataFrame:
          "count_07": F.col("n_07"), "count_13": F.lit(1)},
     )
     file = lines.unionByName(trailer)
-    totals = fixedwidth.parse_multi_layout(file).tables["totals_log"]
+    totals = fixedwidth.parse_multi_layout(file).table("totals_log")
     return lkp.reconcile_totals(fixedwidth.layout_counts(file), totals)
 
 

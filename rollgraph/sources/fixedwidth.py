@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from typing import NamedTuple
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +63,31 @@ def read_property_roll(spark: SparkSession, path: str) -> DataFrame:
     return read_fixed_width(spark, path, slice_fields(PROPERTY_ROLL))
 
 
-class Registry(NamedTuple):
-    tables: dict[str, DataFrame]
-    rejects: DataFrame
+@dataclass(frozen=True)
+class Registry:
+    """A bulk file: one table per layout that has fields, plus what fits none.
+
+    Each table is a filter and a projection over the same scan: reading one
+    table costs one pass and nothing is kept in memory.  To read many of them,
+    write each out once (``write_tables``).
+    """
+
+    lines: DataFrame
+    date_fields: tuple[str, ...] = ()
+
+    @property
+    def names(self) -> list[str]:
+        return [name for name, text in RECORD_TYPES.values() if text]
+
+    def table(self, name: str) -> DataFrame:
+        code = next(code for code, (n, _) in RECORD_TYPES.items() if n == name)
+        return parse_layout(self.lines, code, self.date_fields)
+
+    @property
+    def rejects(self) -> DataFrame:
+        known = [code for code, (_, text) in RECORD_TYPES.items() if text]
+        fits = (F.length("value") == RECORD_LENGTH) & F.substring("value", 1, 2).isin(*known)
+        return self.lines.where(~F.coalesce(fits, F.lit(False)))
 
 
 def _typed(field: Field, kind: str) -> Column:
@@ -99,16 +121,8 @@ def parse_layout(
 
 
 def parse_multi_layout(lines: DataFrame, date_fields: Sequence[str] = ()) -> Registry:
-    """One table per layout that has fields, plus the lines that fit none.
-
-    Each table is a filter and a projection over the same scan: reading one
-    table costs one pass and nothing is kept in memory.  To read many of them,
-    write each out once (``write_tables``).
-    """
-    known = [code for code, (_, text) in RECORD_TYPES.items() if text]
-    tables = {RECORD_TYPES[code][0]: parse_layout(lines, code, date_fields) for code in known}
-    fits = (F.length("value") == RECORD_LENGTH) & F.substring("value", 1, 2).isin(*known)
-    return Registry(tables, lines.where(~F.coalesce(fits, F.lit(False))))
+    """The tables of a bulk file given as lines."""
+    return Registry(lines, tuple(date_fields))
 
 
 def layout_counts(lines: DataFrame) -> DataFrame:
@@ -126,8 +140,8 @@ def read_multi_layout(
 
 def write_tables(registry: Registry, path: str) -> None:
     """One columnar folder per layout below ``path``; rejects beside them."""
-    for name, table in registry.tables.items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    for name in registry.names:
+        registry.table(name).write.mode("overwrite").parquet(f"{path}/{name}")
     registry.rejects.write.mode("overwrite").parquet(f"{path}/rejects")
 
 

@@ -47,17 +47,17 @@ def test_one_file_many_layouts(spark, tmp_path):
     path = tmp_path / "bulk.txt"
     path.write_bytes("\n".join(lines).encode("iso-8859-1") + b"\n")
     registry = fixedwidth.read_multi_layout(spark, str(path), date_fields=("creation_date",))
-    master = registry.tables["master"]
+    master = registry.table("master")
     assert rows(master, "filing_num", "name", "formation_date", "creation_date", "dba_name") == [
         (17, "PEÑA & CO", datetime.date(2001, 2, 3), None, None),
         (18, "123", None, datetime.date(1999, 1, 1), None),
     ]
-    assert rows(registry.tables["address"], "address1", "zip_code") == [("1 MAIN", "00701")]
+    assert rows(registry.table("address"), "address1", "zip_code") == [("1 MAIN", "00701")]
     assert registry.rejects.count() == 2
-    assert set(registry.tables) == {n for n, text in RECORD_TYPES.values() if text}
+    assert set(registry.names) == {n for n, text in RECORD_TYPES.values() if text}
     counts = lkp.reconcile_totals(
         fixedwidth.layout_counts(fixedwidth.read_lines(spark, str(path))),
-        registry.tables["totals_log"],
+        registry.table("totals_log"),
     )
     got = {r["layout_code"]: (r["found"], r["announced"], r["agrees"]) for r in counts.collect()}
     assert got[2] == (2, 2, True) and got[3] == (1, 0, False) and got[99] == (1, 1, True)
