@@ -164,11 +164,13 @@ def _similar_counts(counted: DataFrame, records: DataFrame, settings: LinkSettin
     fixed = list(settings.fixed)
     found = {}
     for c in fuzzy:
-        near = similar_values(records, fixed, c, settings.comparison(c).similarity).drop("similarity")
-        found[c] = near.unionByName(
-            near.select(
-                *fixed, F.col("value_r").alias("value_l"), F.col("value_l").alias("value_r")
-            )
+        near = similar_values(records, fixed, c, settings.comparison(c).similarity)
+        both_ways = F.array(
+            F.struct(F.col("value_l").alias("a"), F.col("value_r").alias("b")),
+            F.struct(F.col("value_r").alias("a"), F.col("value_l").alias("b")),
+        )
+        found[c] = near.select(*fixed, F.explode(both_ways).alias("_w")).select(
+            *fixed, F.col("_w.a").alias(f"_k_{c}"), F.col("_w.b").alias(f"_m_{c}")
         )
     parts = []
     for size in range(1, len(fuzzy) + 1):
@@ -183,10 +185,7 @@ def _similar_on(counted: DataFrame, settings: LinkSettings, chosen: Sequence[str
     others = [c for c in free if c not in chosen]
     left = side
     for c in chosen:
-        near = found[c].select(
-            *fixed, F.col("value_l").alias(f"_k_{c}"), F.col("value_r").alias(f"_m_{c}")
-        )
-        left = left.join(near, [*fixed, f"_k_{c}"])
+        left = left.join(found[c], [*fixed, f"_k_{c}"])
     right = side.select(
         *[F.col(c).alias(f"_r_{c}") for c in fixed],
         *[F.col(f"_q_{c}").alias(f"_rq_{c}") for c in others],
