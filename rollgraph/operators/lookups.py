@@ -51,10 +51,12 @@ def explode_flags(
     df: DataFrame, flags: str, labels: DataFrame, label: str, set_flag: str = "1"
 ) -> DataFrame:
     """One row per set flag, with the label whose code is its 1-based position."""
-    flat = df.select(
-        *df.columns, F.posexplode(F.split(F.col(flags), "")).alias("_pos", "_flag")
-    ).where(F.col("_flag") == F.lit(set_flag))
-    flat = flat.withColumn("position", F.col("_pos") + 1).drop("_pos", "_flag", flags)
+    marked = F.transform(
+        F.split(F.col(flags), ""), lambda flag, at: F.when(flag == F.lit(set_flag), at + 1)
+    )
+    positions = F.filter(marked, lambda position: position.isNotNull())
+    kept = [c for c in df.columns if c != flags]
+    flat = df.select(*kept, F.explode(positions).alias("position"))
     return decode(flat, labels, "position", label)
 
 
