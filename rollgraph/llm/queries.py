@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollgraph.llm import substring_dedup
+from rollgraph.llm import decontaminate, jaccard_join, line_dedup, mixing, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -34,3 +34,51 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingles agree to 0.8 or more."""
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
+LINE_SQL = r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM split
+), repeated AS (
+    SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT k.*, r.key IS NOT NULL AND k.doc_id < r.holder AS dropped
+    FROM keyed k LEFT JOIN repeated r ON r.key = k.key
+)
+"""
+
+
+@query(
+    LINE_SQL
+    + """SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id"""
+)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 20 code points or more in 3 documents stay in the largest doc_id."""
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that leaks a benchmark item, with the item and the overlaps."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of each document, sources weighing 5, 2, 1, repeating."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
