@@ -7,7 +7,7 @@ the threshold share a shingle in their first ``n - ceil(t * n) + 1``.
 1. Profiles: every document's set size and set id; equal sets are one set from
    here on, so any number of copies costs one row each.
 2. Postings of the prefixes, grouped by shingle in one shuffle.  Each set meets
-   the group's first set and the one before it, which is linear in the group.
+   the group's first set, which is linear in the group.
 3. Met pairs with enough shared prefix are verified in prefix trees: the sets
    that meet one set arrive in lexicographic order, which is the depth-first
    order of their trie.  A set reuses the overlap counted along the path it shares
@@ -19,7 +19,7 @@ the threshold share a shingle in their first ``n - ceil(t * n) + 1``.
    listed is in one component already or cannot reach the threshold, so the
    components are those of all links.
 
-Hot groups: copies collapse in step 1, near copies meet along a star and a chain,
+Hot groups: copies collapse in step 1, near copies meet around a star,
 sets that meet one centre are dealt over several tries of bounded size, and the
 order moves shingles that many documents share behind the prefixes.
 
@@ -43,7 +43,9 @@ from rollgraph.operators.components import cluster_pairs
 
 WORDS = 5
 PERCENT = 80
-BUCKETS = 1 << 20  # one byte each in every task
+BUCKET_BYTES = 144  # text for each hash bucket of the order, about 24 words
+BUCKETS = (1 << 16, 1 << 24)  # least and most buckets: one byte each in every task
+FILTER = 1 << 22
 TRIE_SETS = 4096  # sets that one centre meets in one trie
 _HASH_BITS = 58
 _MASK = np.uint64((1 << _HASH_BITS) - 1)
@@ -108,6 +110,12 @@ def _profiles(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> Iterat
     yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, *packed.columns], schema=schema)
 
 
+def bucket_count(size: int) -> int:
+    """A power of two that follows the bytes of text, so that a bucket's usual load
+    stays the same and shingles shared by some dozens of sets show at any scale."""
+    return min(BUCKETS[1], max(BUCKETS[0], 1 << (max(1, size // BUCKET_BYTES).bit_length() - 1)))
+
+
 def levels_of(counts: np.ndarray) -> np.ndarray:
     """How crowded each bucket is: 0 up to twice the mean, then one per doubling."""
     usual = max(float(counts.mean()), 8.0)
@@ -147,16 +155,13 @@ def _postings(batches: Iterator[pa.RecordBatch], k: int, percent: int, levels: n
                 )
 
 
-MET = pa.schema(
-    [("tok", pa.int64()), ("sid", pa.int64()), ("place", pa.int64()), ("first", pa.int64()),
-     ("first_place", pa.int64()), ("before", pa.int64()), ("before_place", pa.int64())]
-)
-MET_SCHEMA = "tok long, sid long, place long, first long, first_place long, before long, before_place long"
+MET = pa.schema([(c, pa.int64()) for c in ("tok", "sid", "place", "first", "first_place")])
+MET_SCHEMA = "tok long, sid long, place long, first long, first_place long"
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (tok, sid), of groups with several sets only, each with the
-    group's first set and the one before it (the set itself for the first).
+    group's first set.
 
     Streams: the first and the last row of the current group are carried along.
     """
@@ -184,9 +189,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None and len(heads) and heads[0] == 0 and shown:
             heads = heads[1:]
         order = np.sort(np.concatenate([*rows, heads]))
-        b = np.where(start[order], order, order - 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (tok[order], sid[order], place[order], f_sid[order], f_place[order], sid[b], place[b])],
+            [pa.array(c) for c in (tok[order], sid[order], place[order], f_sid[order], f_place[order])],
             schema=MET,
         )
         k = int(lead[-1])
@@ -329,7 +333,7 @@ def _verified(documents: DataFrame, pairs: DataFrame, k: int, percent: int, leve
     """The pairs of set ids that reach the threshold."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    wanted = sketches.members(ids, BUCKETS)
+    wanted = sketches.members(ids, FILTER)
     sets = documents.select("text").mapInArrow(lambda it: _wanted_sets(it, k, levels, wanted), "sid long, toks binary")
     sets = materialise(sets.join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
     # A centre with many partners gets several tries.
@@ -350,12 +354,13 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     intersection >= ``percent`` * union of their sets of ``k``-word shingles."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("text")
+    buckets = bucket_count(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     profile_schema = "doc_id long, n long, sid long, chunk int, counts binary"
     found = materialise(
-        documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _profiles(it, k, BUCKETS), profile_schema),
+        documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _profiles(it, k, buckets), profile_schema),
         "jaccard-profiles",
     )
-    levels = levels_of(sketches.summed(found.where("chunk IS NOT NULL").select("chunk", "counts"), BUCKETS))
+    levels = levels_of(sketches.summed(found.where("chunk IS NOT NULL").select("chunk", "counts"), buckets))
     profiles = found.where("chunk IS NULL").select("doc_id", "n", "sid")
 
     postings = texts.mapInArrow(lambda it: _postings(it, k, percent, levels), "tok long, sid long, place long")
@@ -363,10 +368,7 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
         postings.repartition(parts, "tok").sortWithinPartitions("tok", "sid").mapInArrow(_meet, MET_SCHEMA),
         "jaccard-met",
     )
-    later = met.where("sid <> before")
-    near = _as_pairs(later, "sid", "place", "before", "before_place", percent).unionByName(
-        _as_pairs(later.where("first <> before"), "sid", "place", "first", "first_place", percent)
-    )
+    near = _as_pairs(met.where("sid <> first"), "sid", "place", "first", "first_place", percent)
     links = _verified(texts, materialise(_counted(near, percent), "jaccard-near"), k, percent, levels)
     groups = materialise(cluster_pairs(links, "a", "b"), "jaccard-groups")
 
