@@ -1,15 +1,70 @@
-"""The corpus pipeline: language ID, line dedup, near duplicates, decontamination, mix."""
+"""The corpus pipeline: language ID, line dedup, near duplicates, decontamination, mix.
+
+Every stage takes (spark, docs, sf_dir) and returns the columns of documents; the
+last one adds size, source_size, target and taken.  Null ids, texts and sources, empty
+tables and repeated rows behave as the operators say; no stage drops a row for them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rollgraph.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
+from rollgraph.llm.store import materialise
+
+LEAST_SHARE = 0.4  # of a document's words in its language
+ORACLE_SQL: str | None = None  # the first stage is a trained model
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter or without one leading language go."""
+    field = language_id.learn_languages(docs.where(language_id.fold("doc_id", 5) != 0))
+    found = language_id.predict_languages(docs, field, tuple(docs.columns))
+    if field is None:  # nothing to learn from: nothing is rejected
+        return found.select(*docs.columns)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go from the texts; n_chars follows."""
+    found = line_dedup.drop_repeated_lines(docs)
+    changed = F.col("n_dropped") > 0
+    found = found.withColumn("text", F.when(changed, F.col("kept")).otherwise(F.col("text")))
+    found = found.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the smallest id."""
+    linked = jaccard_join.link_components(docs)
+    lost = linked.where("component_id <> doc_id").select(F.col("doc_id").alias("_lost")).distinct()
+    return docs.join(lost, F.col("doc_id").cast("long") == F.col("_lost"), "left_anti").select(*docs.columns)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item go."""
+    return decontaminate.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mix, with the words it takes of each."""
+    return mixing.mix_sources(docs).where("taken > 0")
+
 
-STAGES: list = []
-ORACLE_SQL: str | None = None
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_copies", drop_near_copies),
+    ("decontaminate", decontaminate_benchmark),
+    ("mix_sources", mix_to_weights),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialise(docs, f"pipeline-{name}")
     return docs
