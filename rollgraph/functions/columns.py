@@ -57,8 +57,8 @@ def _tidy(text: Column) -> Column:
 def canonical_address(
     line1: Column, line2: Column, city: Column, postal: Column, country: Column
 ) -> Column:
-    """One text per postal address: tidied lines, five-character postal code."""
-    lines = [_tidy(line1), _tidy(line2), _tidy(city), F.substring(_tidy(postal), 1, 5), _tidy(country)]
+    """One text per postal address: tidied lines and the whole postal code."""
+    lines = [_tidy(line1), _tidy(line2), _tidy(city), _tidy(postal), _tidy(country)]
     text = F.concat_ws("\n", *lines)
     return F.nullif(text, F.lit(""))
 

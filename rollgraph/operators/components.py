@@ -2,7 +2,8 @@
 
 Alternates the large-star and small-star steps of Kiveris et al. (2014), which
 need O(log^2 n) rounds.  Each step is one aggregation with map-side combine
-and one join that splits hub nodes; every round is checkpointed reliably.
+and one join to a row per node, whose hubs adaptive execution splits; every round
+is checkpointed reliably.
 """
 
 from __future__ import annotations
@@ -10,28 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollgraph.operators.skew import ROWS_PER_SALT, heavy_from_counts, salted_join
 from rollgraph.session import cut_lineage
 
 
-def _star(neighbours: DataFrame, split: bool) -> DataFrame:
+def _star(neighbours: DataFrame) -> DataFrame:
     """Attach to each (u, v) the least node ``m`` among u and its neighbours."""
-    least = neighbours.groupBy("u").agg(
-        F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("_n")
-    )
-    heavy = heavy_from_counts(least, ["u"], "_n") if split else None
-    return salted_join(neighbours, least.select("u", "m"), ["u"], heavy, ["v"])
+    least = neighbours.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return neighbours.join(least, "u")
 
 
-def _large_star(edges: DataFrame, split: bool) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    starred = _star(both, split).where("v > u")
+    starred = _star(both).where("v > u")
     return starred.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame, split: bool) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    starred = _star(down, split)
+    starred = _star(down)
     links = starred.select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = starred.select("u", F.col("m").alias("v"))
     return links.unionByName(own).where("u <> v").distinct()
@@ -48,7 +45,8 @@ def _fingerprint(edges: DataFrame) -> tuple:
 def cluster_pairs(pairs: DataFrame, src: str = "id_l", dst: str = "id_r") -> DataFrame:
     """(id, cluster): the least id reachable, for every id that is in a pair."""
     named = pairs.select(F.col(src).alias("u"), F.col(dst).alias("v"))
-    named = named.where("u IS NOT NULL AND v IS NOT NULL")
+    # Cut here: the input may be a long plan, and loops and edges both read it.
+    named = cut_lineage(named.where("u IS NOT NULL AND v IS NOT NULL"))
     loops = named.where("u = v").select("u").distinct()
     edges = cut_lineage(
         named.where("u <> v")
@@ -57,11 +55,7 @@ def cluster_pairs(pairs: DataFrame, src: str = "id_l", dst: str = "id_r") -> Dat
     )
     before = _fingerprint(edges)
     while True:
-        # No node can have more edges than there are: without a million of them
-        # there is no hub to split.
-        split = before[0] > ROWS_PER_SALT
-        large = _large_star(edges, split)
-        edges = cut_lineage(_small_star(cut_lineage(large) if split else large, split))
+        edges = cut_lineage(_small_star(_large_star(edges)))
         after = _fingerprint(edges)
         if after == before:
             break

@@ -20,7 +20,7 @@ def decode(df: DataFrame, table: DataFrame, code: str, label: str) -> DataFrame:
     pairs = table.select(
         F.col("code").try_cast("bigint").alias("_code"), F.col("label").alias(label)
     )
-    return df.join(pairs, F.col(code).cast("bigint") == F.col("_code"), "left").drop("_code")
+    return df.join(pairs, F.col(code).try_cast("bigint") == F.col("_code"), "left").drop("_code")
 
 
 def decode_audit(audit: DataFrame, tables: DataFrame, fields: DataFrame) -> DataFrame:

@@ -59,7 +59,10 @@ def estimate_em(patterns: DataFrame, settings: LinkSettings) -> Weights:
     columns = [c.column for c in settings.comparisons]
     gammas = [f"gamma_{c}" for c in columns]
     bound = 4 ** len(columns)
-    rows = patterns.select(*gammas, F.col("n_pairs").cast("double")).limit(bound).collect()
+    patterns = patterns.groupBy(*gammas).agg(F.sum("n_pairs").cast("double").alias("n_pairs"))
+    if patterns.count() > bound:
+        raise ValueError(f"more than {bound} patterns: a level outside 0 to 2 or null")
+    rows = patterns.collect()
     weights = starting_weights(settings)
     if not rows:
         return weights

@@ -1,9 +1,9 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-``heavy_keys`` names the few keys worth splitting and ``salted_join`` spreads
-each of them over several tasks.  The list of heavy keys never exceeds
-``MAX_HEAVY`` rows, so broadcasting it is safe at any scale; a key that is not
-on the list holds less than 1 / MAX_HEAVY of the rows and is joined unsalted.
+``heavy_keys`` names the keys worth splitting and ``salted_join`` spreads each of
+them over several tasks.  All keys with more than ``ROWS_PER_SALT`` rows are split,
+however many there are.  Their list is broadcast: it has at most one entry for every
+million rows, some megabytes at 10^11 rows.
 Which keys are salted changes only the placement of rows, never the result.
 """
 
@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY = 1000
+NULL_SALTS = 1000
 ROWS_PER_SALT = 1_000_000
 
 
@@ -30,12 +30,8 @@ def heavy_from_counts(
     counts: DataFrame, keys: Sequence[str], n: str, rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
     """``heavy_keys`` for a table that already carries one count per key."""
-    return (
-        counts.where(F.col(n) > rows_per_salt)
-        .orderBy(F.desc(n), *keys)
-        .limit(MAX_HEAVY)
-        .select(*keys, F.ceil(F.col(n) / rows_per_salt).cast("int").alias("_salts"))
-    )
+    salts = F.ceil(F.col(n) / rows_per_salt).cast("int").alias("_salts")
+    return counts.where(F.col(n) > rows_per_salt).select(*keys, salts)
 
 
 def _same(left: Column, right: Column, null_safe: bool) -> Column:
@@ -76,7 +72,7 @@ def salted_join(
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     if how == "left" and not null_safe:
         # Rows without a key meet nothing; deal them out instead of piling them up.
-        salts = F.when(reduce(or_, [F.col(k).isNull() for k in keys]), MAX_HEAVY).otherwise(salts)
+        salts = F.when(reduce(or_, [F.col(k).isNull() for k in keys]), NULL_SALTS).otherwise(salts)
     left = _with_salts(big, keys, heavy, null_safe).withColumn(
         "_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")
     )

@@ -61,7 +61,7 @@ SHARED = {
     "address_pa": (
         ("fx_address",),
         "SELECT *, concat_ws(chr(10), upper(trim(address1)), upper(trim(city)), "
-        "substr(zip_code, 1, 5), country) AS pa FROM fx_address",
+        "upper(trim(zip_code)), country) AS pa FROM fx_address",
     ),
     "matched": (
         ("address_pa", "nodes"),
@@ -84,7 +84,7 @@ SHARED = {
         "SELECT n.id AS src, p.id AS dst, 'is_property_owner' AS type FROM fx_roll r "
         "JOIN idx i ON i.name = r.prop_owner JOIN nodes n ON n.filing_num = i.filing_num "
         "JOIN places p ON p.pa = concat_ws(chr(10), upper(trim(r.mail_add_2)), "
-        "upper(trim(r.mail_add_3)), upper(trim(r.mail_city)), substr(r.mail_zip, 1, 5), 'US')",
+        "upper(trim(r.mail_add_3)), upper(trim(r.mail_city)), upper(trim(r.mail_zip)), 'US')",
     ),
     # One node per address row: what the address merges start from.
     "row_nodes": (

@@ -99,5 +99,12 @@ def test_column_helpers(frame):
         fn.cut(F.col("d"), 6, 20).alias("c"),
         fn.sentinel_to_null(F.lit("NAN"), ()).alias("s"),
     ).collect()
-    assert tuple(got[0]) == (12, "2020-01-01", "x", "5 MAIN ST\nWACO\n00701\nUS", " 5  Main St0012", "01", "NAN")
+    assert tuple(got[0]) == (12, "2020-01-01", "x", "5 MAIN ST\nWACO\n00701-123\nUS", " 5  Main St0012", "01", "NAN")
     assert tuple(got[1])[:5] == (None, None, None, "WACO\nUS", None)
+
+
+def test_foreign_postal_codes_stay_whole(frame):
+    df = frame([("m5v 2t6",), ("M5V  2Z9",), ("SW1A 1AA",), ("SW1A 2BB",)], "z string")
+    none = F.lit(None).cast("string")
+    got = df.select(fn.canonical_address(none, none, F.lit("x"), F.col("z"), F.lit("CA")).alias("p")).collect()
+    assert [r["p"] for r in got] == ["X\nM5V 2T6\nCA", "X\nM5V 2Z9\nCA", "X\nSW1A 1AA\nCA", "X\nSW1A 2BB\nCA"]

@@ -86,11 +86,7 @@ def test_components_equal_the_closure(frame, seed):
     assert rows(got) == sorted(closure(pairs), key=repr)
 
 
-def test_components_with_split_hubs(frame, monkeypatch):
-    from rollgraph.operators import components, skew
-
-    monkeypatch.setattr(components, "ROWS_PER_SALT", 5)
-    monkeypatch.setattr(skew.heavy_from_counts, "__defaults__", (5,))
+def test_components_with_hubs(frame):
     pairs = [(2000, i) for i in range(80)] + [(5000 + i, 5001 + i) for i in range(10)]
     got = cluster_pairs(frame(pairs, "id_l int, id_r int"))
     assert rows(got) == sorted(closure(pairs), key=repr)
