@@ -45,9 +45,10 @@ def linear_nodes(turns: DataFrame) -> DataFrame:
     )
 
 
-def leaf_paths(links: DataFrame) -> DataFrame:
+def leaf_paths(links: DataFrame) -> tuple[DataFrame, int]:
     """(key, leaf, node, up) of (key, node, parent) rows: every node between a leaf
-    and its root, ``up`` steps above the leaf."""
+    and its root, ``up`` steps above the leaf; and the most nodes a path can have.
+    Only a leaf that hangs on a cycle gets more nodes than that."""
     known = links.select("key", F.col("node").alias("parent"), F.lit(True).alias("known"))
     jump = links.where("parent IS NOT NULL").join(known, ["key", "parent"]).select("key", "node", F.col("parent").alias("above"))
     jump = materialise(jump, "chat-jump")
@@ -56,13 +57,13 @@ def leaf_paths(links: DataFrame) -> DataFrame:
     paths = materialise(paths, "chat-paths")
     most = links.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     reach = 1
-    while reach < most and not jump.isEmpty():
+    while reach <= most and not jump.isEmpty():
         more = paths.join(jump, ["key", "node"]).select("key", "leaf", F.col("above").alias("node"), (F.col("up") + reach).alias("up"))
         paths = materialise(paths.unionByName(more), "chat-paths")
         upper = jump.select("key", F.col("node").alias("above"), F.col("above").alias("top"))
         jump = materialise(jump.join(upper, ["key", "above"]).select("key", "node", F.col("top").alias("above")), "chat-jump")
         reach *= 2
-    return paths
+    return paths, most
 
 
 def format_trees(nodes: DataFrame, branches: int | None = None) -> DataFrame:
@@ -74,7 +75,7 @@ def format_trees(nodes: DataFrame, branches: int | None = None) -> DataFrame:
         key.alias("key"), "tree", "node", "parent", role.alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), F.col("parent").isNull().alias("top"),
     )
-    paths = leaf_paths(rows.select("key", "node", "parent"))
+    paths, most = leaf_paths(rows.select("key", "node", "parent"))
     turn = F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(END))
     placed = paths.join(rows, ["key", "node"]).withColumn("turn", turn)
     order = Window.partitionBy("key", "leaf").orderBy(F.desc("up"))
@@ -83,6 +84,7 @@ def format_trees(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     placed = placed.withColumn("span", span)
     turns = F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "turn", "span")))
     grouped = placed.groupBy("key", "leaf").agg(F.first("tree").alias("tree"), F.sum("score").alias("score"), turns.alias("turns"))
+    grouped = grouped.where(F.size("turns") <= most)
     best = Window.partitionBy("key").orderBy(F.desc("score"), "leaf")
     ranked = grouped.withColumn("rank", F.row_number().over(best))
     chosen = ranked if branches is None else ranked.where(F.col("rank") <= branches)
