@@ -11,6 +11,7 @@ from rollgraph.llm import (
     chat_trees,
     cover_topk,
     decontaminate,
+    importance,
     jaccard_join,
     language_id,
     line_dedup,
@@ -180,3 +181,55 @@ def op8_cover_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best inner products for every hundredth vector, over all vectors."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return cover_topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+RESAMPLE_SQL = r"""
+WITH RECURSIVE steps AS (
+    SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(256) t(i) UNION ALL
+    SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc_table AS (
+    SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8
+), raw AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), wanted AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), features AS (
+    SELECT doc_id, unnest(words) AS word FROM raw
+), words AS (
+    SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM features UNION SELECT word FROM wanted)
+), hashed AS (
+    SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(range(1, length(h) + 1, 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM words, crc_table
+), s AS (
+    SELECT bucket, count(*) AS n FROM features JOIN hashed USING (word) GROUP BY bucket
+), t AS (
+    SELECT bucket, count(*) AS n FROM wanted JOIN hashed USING (word) GROUP BY bucket
+), gains AS (
+    SELECT b.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM features) + 10000)
+        / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000)))) AS BIGINT) AS gain
+    FROM range(10000) b(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+), weighed AS (
+    SELECT doc_id, sum(gain) AS weight FROM features JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+            (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM raw LEFT JOIN weighed USING (doc_id)
+), placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN place <= (SELECT count(*) * 10 // 100 FROM placed) THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+@query(RESAMPLE_SQL)
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the benchmark's words, by weight and seeded noise."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
