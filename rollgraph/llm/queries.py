@@ -18,6 +18,7 @@ from rollgraph.llm import (
     main_text,
     mixing,
     quality,
+    secrets,
     substring_dedup,
 )
 
@@ -233,3 +234,16 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents drawn towards the benchmark's words, by weight and seeded noise."""
     drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document by three patterns and by characters a token."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
