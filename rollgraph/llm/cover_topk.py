@@ -1,141 +1,91 @@
 """Exact top-k search by inner product with dual cover trees (operator 8).
 
-Vectors become whole numbers, ``floor(scale * x)``.  Queries and data are cut into
-blocks by a hash of the id; a block of each makes one task, which grows a cover tree
-over both: a node's points lie within its covering radius of its centre, and children
-cover it with smaller radii.  Node pairs are walked best bound first.  A pair is left
+Vectors become whole numbers, ``floor(scale * x)``.  ``cells`` cuts queries and data into
+blocks along the upper levels of one cover tree and ships only pairs of blocks whose
+bound reaches the worst k-th score of the query block.  In a task both blocks are
+indexed by a cover tree, and node pairs are walked best bound first.  A pair is left
 out if <cq, cd> + rq * |cd| + rd * |cq| + rq * rd, which no inner product inside exceeds,
 is below the worst k-th score of the query node.  The best k of all blocks are merged.
 
-Blocks bound what a task holds; the number of block pairs is what an exact search
-over all rows needs.  The k best of a query in a block are at most k rows.
-
 Cases: vectors that are null or hold null or non-finite components take no part, nor
-do rows without an id; rows with one id count once (the least vector); only vectors of
-equal length are compared; ties go to the smaller id; fewer candidates give fewer rows.
+do rows without an id; rows that share an id are rows of their own, both as queries
+and as candidates, but no candidate of a query with that id; only vectors of equal
+length are compared; ties go to the smaller id; fewer candidates give fewer rows; an
+empty table gives none; other columns are ignored.  Vectors of any length are rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-QUERY_ROWS = 1024
-DATA_ROWS = 8192
-LEAF = 64
-SCHEMA = "query_id long, vec_id long, score long"
-
-
-class Tree:
-    """A cover-tree node: rows, centre, covering radius, and children unless a leaf."""
-
-    __slots__ = ("rows", "centre", "norm", "radius", "children")
-
-    def __init__(self, points: np.ndarray, rows: np.ndarray, scale: float | None = None):
-        self.rows = rows
-        self.centre = points[rows[0]]
-        self.norm = float(np.linalg.norm(self.centre))
-        away = np.linalg.norm(points[rows] - self.centre, axis=1)
-        self.radius = float(away.max()) * (1 + 1e-12)
-        self.children: list[Tree] = []
-        if len(rows) <= LEAF or self.radius == 0:
-            return
-        reach = self.radius / 1.5 if scale is None else min(scale, self.radius) / 1.5
-        left, groups = rows, []
-        while len(left) and len(groups) < 32:
-            near = np.linalg.norm(points[left] - points[left[0]], axis=1) <= reach
-            groups.append(left[near])
-            left = left[~near]
-        # Points that no small ball covers stay together in leaves.
-        single = [g for g in groups if len(g) < 4]
-        rest = np.concatenate([*single, left]) if single or len(left) else left
-        self.children = [Tree(points, g, reach) for g in groups if len(g) >= 4 and len(g) < len(rows)]
-        if not self.children:
-            rest = rows
-        self.children += [_leaf(points, rest[i : i + LEAF]) for i in range(0, len(rest), LEAF)]
-
-
-def _leaf(points: np.ndarray, rows: np.ndarray) -> Tree:
-    node = Tree.__new__(Tree)
-    node.rows, node.children = rows, []
-    node.centre = points[rows].mean(axis=0)
-    node.norm = float(np.linalg.norm(node.centre))
-    node.radius = float(np.linalg.norm(points[rows] - node.centre, axis=1).max()) * (1 + 1e-12)
-    return node
+from rollgraph.llm import cells
 
+QUERY_LEAF = 8
+DATA_LEAF = 128
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers held as doubles."""
-    if len(a) and len(b) and float(np.abs(a).max() * np.abs(b).max() * a.shape[1]) < 2**53:
-        return (a @ b.T).astype(np.int64)
-    whole = lambda m: np.array([[int(x) for x in row] for row in m], object)
-    return whole(a) @ whole(b).T
 
+def top_k(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, data: np.ndarray, k: int, floor: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """(ids, scores) of the k best rows for each query, by dual-tree search, and the
+    inner products computed.  Rows below a query's ``floor`` may be missing; where there
+    are fewer than k the score is ``cells.LEAST``."""
+    best = np.full((len(queries), k), cells.LEAST, np.int64)
+    best_ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+    worst = np.full(len(queries), cells.LEAST) if floor is None else floor.copy()
+    computed = 0
+    if not len(queries) or not len(data):
+        return best_ids, best, computed
 
-def top_k(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, data: np.ndarray, k: int):
-    """(query, id, score) of the k best rows for each query, by dual-tree search."""
-    best: list[list[tuple[int, int]]] = [[] for _ in query_ids]  # (-score, id), sorted
-    worst = np.full(len(query_ids), -np.inf)
-    if not len(query_ids) or not len(ids):
-        return []
-    stack = [(Tree(queries, np.arange(len(queries))), Tree(data, np.arange(len(data))))]
-
-    def bound(q: Tree, d: Tree) -> float:
-        value = float(q.centre @ d.centre) + q.radius * d.norm + d.radius * q.norm + q.radius * d.radius
-        return value + 1e-9 * abs(value) + 0.5
+    def bound(q: cells.Node, d: cells.Node) -> float:
+        value = float(q.centre @ d.centre)
+        slack = q.radius * np.linalg.norm(d.centre) + d.radius * np.linalg.norm(q.centre) + q.radius * d.radius
+        return value + slack + 1e-9 * (abs(value) + slack) + 0.5
 
+    roots = cells.grow(queries, QUERY_LEAF), cells.grow(data, DATA_LEAF)
+    stack = [(bound(*roots), *roots)]
     while stack:
-        q, d = stack.pop()
-        if bound(q, d) < worst[q.rows].min():
+        most, q, d = stack.pop()
+        if most < worst[q.rows].min():
             continue
-        if not q.children and not d.children:
-            scores = _products(queries[q.rows], data[d.rows])
-            for i, row in zip(q.rows, scores):
-                hit = np.flatnonzero((row >= worst[i]) & (ids[d.rows] != query_ids[i]))
-                if len(hit):
-                    found = best[i] + [(-int(row[j]), int(ids[d.rows[j]])) for j in hit]
-                    found.sort()
-                    best[i] = found[:k]
-                    if len(best[i]) == k:
-                        worst[i] = -best[i][-1][0]
+        if q.children or d.children:
+            pairs = [(bound(x, y), x, y) for x in (q.children or [q]) for y in (d.children or [d])]
+            stack += sorted(pairs, key=lambda p: p[0])  # the best one is popped first
             continue
-        pairs = [(x, y) for x in (q.children or [q]) for y in (d.children or [d])]
-        pairs.sort(key=lambda p: bound(*p))  # the best one is popped first
-        stack += pairs
-    return [(int(query_ids[i]), vec, -score) for i, rows in enumerate(best) for score, vec in rows]
-
-
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` best other rows of ``vectors`` for each
-    row of ``queries``; both have vec_id and embedding."""
-
-    def whole(df: DataFrame) -> DataFrame:
-        kept = df.where("vec_id IS NOT NULL AND embedding IS NOT NULL").select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
-        finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-        kept = kept.where(F.forall("v", finite) & (F.size("v") > 0))
-        # Whole numbers as doubles: arrays of one row per id.
-        kept = kept.groupBy("id").agg(F.min("v").alias("v"))
-        return kept.select("id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"), F.size("v").alias("dim"))
-
-    rows, asked = whole(vectors), whole(queries)
-    n_data = -(-max(1, vectors.count()) // DATA_ROWS)
-    n_query = -(-max(1, queries.count()) // QUERY_ROWS)
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.withColumn("qb", block(n_query)).withColumn("db", every(n_data))
-    right = rows.withColumn("db", block(n_data)).withColumn("qb", every(n_query))
-
-    def walk(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(a) and len(b):
-            grid = lambda f: np.array([np.asarray(v, float) for v in f["v"]])
-            found = top_k(a["id"].to_numpy(), grid(a), b["id"].to_numpy(), grid(b), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    keys = ["dim", "db", "qb"]
-    partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(walk, SCHEMA)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        scores = cells.products(queries[q.rows], data[d.rows])
+        computed += scores.size
+        own = np.broadcast_to(ids[d.rows], scores.shape)
+        scores = np.where(own == query_ids[q.rows][:, None], cells.LEAST, scores)
+        merged = np.concatenate([best[q.rows], scores], axis=1)
+        merged_ids = np.concatenate([best_ids[q.rows], own], axis=1)
+        order = np.lexsort((merged_ids, -merged), axis=-1)[:, :k]
+        best[q.rows] = np.take_along_axis(merged, order, axis=1)
+        best_ids[q.rows] = np.take_along_axis(merged_ids, order, axis=1)
+        worst[q.rows] = np.maximum(worst[q.rows], best[q.rows, -1])
+    return best_ids, best, computed
+
+
+def search(vectors: DataFrame, asked: Column | str, k: int = 10, scale: int = 1024) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` best other rows for each row of
+    ``vectors`` (vec_id, embedding) for which ``asked`` holds."""
+    rows = cells.whole_vectors(vectors, scale, cells.asked(asked))
+    index = cells.Cells(rows)
+
+    def walk(left: pa.Table, right: pa.Table, floors: list):
+        ids = np.asarray(right.column("id"))
+        found, scores, _ = top_k(
+            np.asarray(left.column("id")), cells.grid(left.column("v")), ids, cells.grid(right.column("v")), k,
+            np.array([f[0] for f in floors], np.int64),
+        )
+        for i, (own, score) in enumerate(zip(found, scores)):
+            full = score > cells.LEAST
+            yield i, 0, own[full], score[full]
+
+    open_window = {"low": F.array(F.lit(cells.LEAST)), "high": F.array(F.lit(cells.MOST))}
+    queries = index.rows.where("asked").withColumns(open_window)
+    found = index.search(queries, k, walk)
+    named = index.rows.where("asked").select("tag", F.col("id").alias("query_id"))
+    return found.join(named, "tag").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

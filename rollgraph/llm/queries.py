@@ -11,6 +11,7 @@ from rollgraph.llm import (
     chat_trees,
     cover_topk,
     decontaminate,
+    hard_negatives,
     importance,
     jaccard_join,
     language_id,
@@ -181,7 +182,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 def op8_cover_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best inner products for every hundredth vector, over all vectors."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return cover_topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+    return cover_topk.search(vectors, F.col("vec_id") % 100 == 0)
 
 
 RESAMPLE_SQL = r"""
@@ -247,3 +248,34 @@ def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"),
         secrets.span_text(F.col("spans")).alias("spans"),
     )
+
+
+NEGATIVE_SQL = """
+WITH ints AS (
+    SELECT row_number() OVER () AS tag, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM ints a JOIN ints d ON a.vec_id <> d.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+        AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+@query(NEGATIVE_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score 80 to 100 % of each positive of every anchor."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, turned)
