@@ -1,0 +1,110 @@
+"""How often hashes occur over all tasks, without a shuffled row for each of them.
+
+A task sorts its hashes and cuts them into ranges; a range travels as the differences of
+its sorted values, which have two bytes as long as a task holds many.  The task
+of a range merges them and counts.  Hashes are compared by as many leading bits as the
+size of the text asks for, so that few meet by chance at any scale.  What is frequent
+is listed by doublings; the driver takes the doublings from the top that fit ``MOST``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rollgraph.llm.store import materialise
+
+LEAST = 8  # occurrences that make a hash frequent
+MOST = 1 << 22  # frequent hashes on the driver and in a task: 36 MB
+FLUSH = 1 << 22  # hashes that a task holds before it sends them
+_LOW = 24  # bits of a value within its range, while there are few ranges
+_RANGES = 16
+CHUNK_SCHEMA = "span int, wide boolean, diffs binary"
+CHUNK = pa.schema([("span", pa.int32()), ("wide", pa.bool_()), ("diffs", pa.binary())])
+
+
+def leading_bits(text_bytes: int, bits: int) -> int:
+    """Bits of a ``bits``-bit hash that tell the words of so much text apart."""
+    return min(bits, max(_LOW + 6, text_bytes.bit_length() + 4))
+
+
+def _range_bits(lead: int) -> int:
+    return min(_RANGES, lead - _LOW)
+
+
+class Counter:
+    """Hashes of a task, sent as chunks when many have come together."""
+
+    def __init__(self, bits: int, lead: int):
+        self.bits, self.lead = bits, lead
+        self.held: list[np.ndarray] = []
+        self.number = 0
+
+    def add(self, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(hashes >> np.uint64(self.bits - self.lead))
+        self.number += len(hashes)
+        if self.number >= FLUSH:
+            yield self.flush()
+
+    def flush(self) -> pa.RecordBatch:
+        values = np.sort(np.concatenate([*self.held, np.zeros(0, np.uint64)]))
+        self.held, self.number = [], 0
+        low = np.uint64(self.lead - _range_bits(self.lead))
+        spans = (values >> low).astype(np.int64)
+        starts = np.flatnonzero(np.diff(spans, prepend=-1))
+        diffs = np.diff(values, prepend=np.uint64(0))
+        diffs[starts] = values[starts] & ((np.uint64(1) << low) - np.uint64(1))
+        wide, blobs = [], []
+        for a, b in zip(starts, [*starts[1:], len(values)]):
+            own = diffs[a:b]
+            wide.append(bool(own.max() > 0xFFFF))
+            blobs.append(own.astype(np.uint64 if wide[-1] else np.uint16).tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(spans[starts].astype(np.int32)), pa.array(wide, pa.bool_()), pa.array(blobs, pa.binary())], schema=CHUNK
+        )
+
+
+def frequent(chunks: DataFrame, lead: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values, levels): leading bits that occur ``LEAST`` times or more, sorted, and the
+    doublings of their count, from 1."""
+    low = lead - _range_bits(lead)
+
+    def level(counts: np.ndarray) -> np.ndarray:
+        return np.minimum(np.floor(np.log2(counts / LEAST)) + 1, 31).astype(np.int32)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span, held = None, []
+
+        def rows() -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = counts >= LEAST
+            values = (values[often] + (np.uint64(span) << np.uint64(low))).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(values), pa.array(level(counts[often]))], names=["value", "level"])
+
+        for batch in batches:
+            for k, wide, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if k != span and held:
+                    yield rows()
+                    held = []
+                span = k
+                held.append(np.cumsum(np.frombuffer(raw, np.uint64 if wide else np.uint16), dtype=np.uint64))
+        if held:
+            yield rows()
+
+    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = chunks.repartition(parts, "span").sortWithinPartitions("span").mapInArrow(count, "value long, level int")
+    counted = materialise(counted, "frequent")
+    total, least = 0, 33
+    for row in counted.groupBy("level").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
+        total += row["n"]  # at most 32 rows
+        if total > MOST:
+            break
+        least = row["level"]
+    listed = counted.where(F.col("level") >= least).toArrow()  # at most MOST rows
+    values, levels = (np.asarray(listed.column(i)) for i in range(2))
+    order = np.argsort(values.view(np.uint64))
+    return values.view(np.uint64)[order], levels[order].astype(np.uint64)

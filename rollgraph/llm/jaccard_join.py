@@ -36,15 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollgraph.llm import sketches
+from rollgraph.llm import frequencies, sketches
 from rollgraph.llm import words as w
 from rollgraph.llm.store import materialise
 from rollgraph.operators.components import cluster_pairs
 
 WORDS = 5
 PERCENT = 80
-BUCKET_BYTES = 144  # text for each hash bucket of the order, about 24 words
-BUCKETS = (1 << 16, 1 << 24)  # least and most buckets: one byte each in every task
 FILTER = 1 << 22
 TRIE_SETS = 4096  # sets that one centre meets in one trie
 _HASH_BITS = 58
@@ -89,43 +87,46 @@ def set_ids(sets: list[np.ndarray]) -> np.ndarray:
     return w.signed(ids)
 
 
-def _profiles(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """A row per document, and at the end of the task its bucket counts."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
-    counts = np.zeros(buckets, np.int64)
+def _profiles(batches: Iterator[pa.RecordBatch], k: int, lead: int) -> Iterator[pa.RecordBatch]:
+    """A row per document, and besides the task's shingles for the frequencies."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), *frequencies.CHUNK])
+    counter = frequencies.Counter(_HASH_BITS, lead)
+
+    def chunks(packed: pa.RecordBatch) -> pa.RecordBatch:
+        nulls = pa.nulls(packed.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([nulls, nulls, nulls, *packed.columns], schema=schema)
+
     for batch in batches:
         for low, high, data, bounds in w.text_slices(batch.column(1)):
             sets = shingle_sets(data, bounds, k)
             sids = set_ids(sets)
             _, once = np.unique(sids, return_index=True)
-            flat = np.concatenate([sets[i] for i in once])
-            counts += np.bincount((flat & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+            for packed in counter.add(np.concatenate([sets[i] for i in once])):
+                yield chunks(packed)
             n = high - low
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)[low:high].cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sids),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema,
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.binary())], schema=schema,
             )
-    packed = sketches.pack(counts)
-    nulls = pa.nulls(packed.num_rows, pa.int64())
-    yield pa.RecordBatch.from_arrays([nulls, nulls, nulls, *packed.columns], schema=schema)
+    yield chunks(counter.flush())
 
 
-def bucket_count(size: int) -> int:
-    """A power of two that follows the bytes of text, so that a bucket's usual load
-    stays the same and shingles shared by some dozens of sets show at any scale."""
-    return min(BUCKETS[1], max(BUCKETS[0], 1 << (max(1, size // BUCKET_BYTES).bit_length() - 1)))
+Order = tuple[int, np.ndarray, np.ndarray]  # leading bits, and the frequent values with their levels
 
 
-def levels_of(counts: np.ndarray) -> np.ndarray:
-    """How crowded each bucket is: 0 up to twice the mean, then one per doubling."""
-    usual = max(float(counts.mean()), 8.0)
-    return np.clip(np.floor(np.log2(np.maximum(counts / usual, 1.0))), 0, 31).astype(np.uint8)
+def _ordered(tokens: np.ndarray, order: Order) -> np.ndarray:
+    """Tokens with their level on top, sorted: the global order as integers."""
+    lead, values, levels = order
+    if len(values):
+        own = tokens >> np.uint64(_HASH_BITS - lead)
+        at = np.minimum(np.searchsorted(values, own), len(values) - 1)
+        tokens = np.where(values[at] == own, levels[at], np.uint64(0)) << np.uint64(_HASH_BITS) | tokens
+    return np.sort(tokens)
 
 
-def _ordered(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Tokens with their level on top, sorted: the global order as integers."""
-    level = levels[tokens & np.uint64(len(levels) - 1)].astype(np.uint64)
-    return np.sort(level << np.uint64(_HASH_BITS) | tokens)
+def band_of(n: np.ndarray, percent: int) -> np.ndarray:
+    """Sizes by powers of 100 / percent: partners are at most one band apart."""
+    return np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64) if percent < 100 else n
 
 
 def prefix_length(n, percent: int):
@@ -133,26 +134,25 @@ def prefix_length(n, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
-def _postings(batches: Iterator[pa.RecordBatch], k: int, percent: int, levels: np.ndarray) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("tok", pa.int64()), ("sid", pa.int64()), ("place", pa.int64())])
+def _postings(batches: Iterator[pa.RecordBatch], k: int, percent: int, order: Order) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([(c, pa.int64()) for c in ("tok", "band", "sid", "place")])
     for batch in batches:
         for _, _, data, bounds in w.text_slices(batch.column(0)):
             sets = shingle_sets(data, bounds, k)
             sids = set_ids(sets)
-            toks, owners, places = [], [], []
+            toks, owners, places, bands = [], [], [], []
             for i in np.unique(sids, return_index=True)[1]:
                 n = len(sets[i])
                 if n == 0:
                     continue
                 p = prefix_length(n, percent)
-                toks.append(_ordered(sets[i], levels)[:p])
+                toks.append(_ordered(sets[i], order)[:p])
                 owners.append(np.full(p, sids[i]))
+                bands.append(np.full(p, band_of(np.array(n), percent)))
                 places.append((n << 31) + np.arange(p))
             if toks:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(w.signed(np.concatenate(toks))), pa.array(np.concatenate(owners)), pa.array(np.concatenate(places))],
-                    schema=schema,
-                )
+                columns = [w.signed(np.concatenate(toks)), *(np.concatenate(c) for c in (bands, owners, places))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
 
 MET = pa.schema([(c, pa.int64()) for c in ("tok", "sid", "place", "first", "first_place")])
@@ -160,48 +160,34 @@ MET_SCHEMA = "tok long, sid long, place long, first long, first_place long"
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (tok, sid), of groups with several sets only, each with the
-    group's first set.
+    """Rows sorted by (tok, band, sid), of shingles with several sets only, each with the
+    first set of its shingle and band.
 
-    Streams: the first and the last row of the current group are carried along.
+    Streams: the last row is held back until the next one shows whether it is alone.
     """
-    first = last = None
-    shown = True
+    held = first = None
+    seen = False  # whether the held row has one of its shingle before it
     for batch in batches:
-        tok, sid, place = (np.asarray(batch.column(i)) for i in range(3))
-        if last is not None:  # rows go on behind the last one
-            tok, sid, place = (np.concatenate([[x], c]) for x, c in zip(last, (tok, sid, place)))
-        new = w.first_of_runs(tok, sid)
-        tok, sid, place = tok[new], sid[new], place[new]
+        tok, band, sid, place = (np.asarray(batch.column(i)) for i in range(4))
+        if held is not None:
+            tok, band, sid, place = (np.concatenate([[x], c]) for x, c in zip(held, (tok, band, sid, place)))
+        new = w.first_of_runs(tok, band, sid)
+        tok, band, sid, place = tok[new], band[new], sid[new], place[new]
         if len(tok) == 0:
             continue
-        start = w.first_of_runs(tok)
+        start = w.first_of_runs(tok, band)
         lead = np.maximum.accumulate(np.where(start, np.arange(len(tok)), 0))
         f_sid, f_place = sid[lead], place[lead]
-        if last is not None and first is not None and first[0] == last[0]:
-            going_on = lead == 0
-            f_sid = np.where(going_on, first[1], f_sid)
-            f_place = np.where(going_on, first[2], f_place)
-        later = ~start
-        rows = [np.flatnonzero(later)]
-        # A first row shows once its group has a second one.
-        heads = lead[later & np.append(True, start[:-1])]
-        if last is not None and len(heads) and heads[0] == 0 and shown:
-            heads = heads[1:]
-        order = np.sort(np.concatenate([*rows, heads]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (tok[order], sid[order], place[order], f_sid[order], f_place[order])],
-            schema=MET,
-        )
-        k = int(lead[-1])
-        if k == 0 and last is not None:
-            shown = shown or len(tok) > 1
-        else:
-            first = (tok[k], sid[k], place[k])
-            shown = len(tok) - k > 1
-        if first is None:
-            first = (tok[0], sid[0], place[0])
-        last = (tok[-1], sid[-1], place[-1])
+        if first is not None:
+            f_sid, f_place = np.where(lead == 0, first[0], f_sid), np.where(lead == 0, first[1], f_place)
+        before = ~w.first_of_runs(tok)
+        before[0] = seen
+        behind = np.append(before[1:], False)
+        out = np.flatnonzero((before | behind)[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (tok, sid, place, f_sid, f_place)], schema=MET)
+        held, first, seen = (tok[-1], band[-1], sid[-1], place[-1]), (f_sid[-1], f_place[-1]), bool(before[-1])
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (held[0], held[2], held[3], *first)], schema=MET)
 
 
 def _size(place):
@@ -245,7 +231,7 @@ def _as_pairs(rows: DataFrame, x: str, px: str, y: str, py: str, percent: int) -
     return pairs.where(_possible(percent)).select("a", "b", "na", "nb")
 
 
-def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, levels: np.ndarray, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, order: Order, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(sid, ordered tokens) of sets that the filter lets pass; big-endian bytes
     sort like the tokens."""
     schema = pa.schema([("sid", pa.int64()), ("toks", pa.binary())])
@@ -256,7 +242,7 @@ def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, levels: np.ndarray,
             once = np.unique(sids, return_index=True)[1]
             once = once[wanted[sids[once].view(np.uint64) & np.uint64(len(wanted) - 1)]]
             once = [i for i in once if len(sets[i])]
-            toks = [_ordered(sets[i], levels).astype(">u8").tobytes() for i in once]
+            toks = [_ordered(sets[i], order).astype(">u8").tobytes() for i in once]
             yield pa.RecordBatch.from_arrays([pa.array(sids[once]), pa.array(toks, pa.binary())], schema=schema)
 
 
@@ -329,12 +315,12 @@ class _Path:
         self.linked = depth == nb and int(overlap[nb]) >= need
 
 
-def _verified(documents: DataFrame, pairs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
+def _verified(documents: DataFrame, pairs: DataFrame, k: int, percent: int, order: Order) -> DataFrame:
     """The pairs of set ids that reach the threshold."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     wanted = sketches.members(ids, FILTER)
-    sets = documents.select("text").mapInArrow(lambda it: _wanted_sets(it, k, levels, wanted), "sid long, toks binary")
+    sets = documents.select("text").mapInArrow(lambda it: _wanted_sets(it, k, order, wanted), "sid long, toks binary")
     sets = materialise(sets.join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
     # A centre with many partners gets several tries.
     degrees = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE_SETS).alias("tries"))
@@ -354,22 +340,29 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     intersection >= ``percent`` * union of their sets of ``k``-word shingles."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("text")
-    buckets = bucket_count(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    profile_schema = "doc_id long, n long, sid long, chunk int, counts binary"
+    lead = frequencies.leading_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0, _HASH_BITS)
+    profile_schema = f"doc_id long, n long, sid long, {frequencies.CHUNK_SCHEMA}"
     found = materialise(
-        documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _profiles(it, k, buckets), profile_schema),
+        documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _profiles(it, k, lead), profile_schema),
         "jaccard-profiles",
     )
-    levels = levels_of(sketches.summed(found.where("chunk IS NOT NULL").select("chunk", "counts"), buckets))
-    profiles = found.where("chunk IS NULL").select("doc_id", "n", "sid")
+    order = (lead, *frequencies.frequent(found.where("span IS NOT NULL").select("span", "wide", "diffs"), lead))
+    profiles = found.where("span IS NULL").select("doc_id", "n", "sid")
 
-    postings = texts.mapInArrow(lambda it: _postings(it, k, percent, levels), "tok long, sid long, place long")
+    postings = texts.mapInArrow(lambda it: _postings(it, k, percent, order), "tok long, band long, sid long, place long")
     met = materialise(
-        postings.repartition(parts, "tok").sortWithinPartitions("tok", "sid").mapInArrow(_meet, MET_SCHEMA),
+        postings.repartition(parts, "tok").sortWithinPartitions("tok", "band", "sid").mapInArrow(_meet, MET_SCHEMA),
         "jaccard-met",
     )
-    near = _as_pairs(met.where("sid <> first"), "sid", "place", "first", "first_place", percent)
-    links = _verified(texts, materialise(_counted(near, percent), "jaccard-near"), k, percent, levels)
+    # Two centres for each set: of its rarest shingle that others have, and of its most common.
+    able = met.where("sid <> first").withColumns({"na": _size("place"), "nb": _size("first_place"), "pa": F.col("place"), "pb": F.col("first_place")})
+    level = F.shiftright("tok", _HASH_BITS)
+    centres = able.where(_possible(percent)).groupBy("sid").agg(
+        F.min_by("first", "tok").alias("x"), F.max_by("first", F.struct(level, -F.col("tok"))).alias("y")
+    )
+    near = centres.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("first"), "sid")
+    near = near.select(F.col("first").alias("a"), F.col("sid").alias("b"))
+    links = _verified(texts, materialise(near, "jaccard-near"), k, percent, order)
     groups = materialise(cluster_pairs(links, "a", "b"), "jaccard-groups")
 
     # Pairs of different components that share a prefix shingle, all of them.
@@ -383,7 +376,7 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     )
     across = minor.join(rows, "tok").where("cx <> cluster AND (cluster = major OR x < sid)")
     wide = _counted(_as_pairs(across, "x", "px", "sid", "place", percent), percent)
-    more = _verified(texts, materialise(wide, "jaccard-across"), k, percent, levels)
+    more = _verified(texts, materialise(wide, "jaccard-across"), k, percent, order)
     more = materialise(more, "jaccard-more")
     name = lambda side: groups.select(F.col("id").alias(side), F.col("cluster").alias(f"c{side}"))
     joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
@@ -398,7 +391,8 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
 
     named = profiles.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     named = materialise(named, "jaccard-labels")
-    least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    # Written, so that the join below has a shuffle of its own, which skew handling can split.
+    least = materialise(named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "jaccard-least")
     joined = named.join(least, "label", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

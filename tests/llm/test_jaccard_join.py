@@ -5,7 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
+
+from rollgraph.llm import frequencies
 from rollgraph.llm.jaccard_join import _meet, link_components
 
 
@@ -74,15 +77,35 @@ def test_test_table(spark):
 
 def test_groups_over_batches():
     rng = random.Random(2)
-    rows = sorted((rng.randrange(12), rng.randrange(9), 0) for _ in range(60))
+    rows = sorted((rng.randrange(12), s % 2, s, 0) for s in (rng.randrange(9) for _ in range(60)))
+    rows += [(50, 0, 1, 0), (51, 0, 1, 0), (51, 1, 2, 0)]  # alone; two bands of one shingle
     groups = {}
-    for t, s, _ in rows:
-        groups.setdefault(t, [])
-        if s not in groups[t]:
-            groups[t].append(s)
-    want = [(t, s, g[0]) for t, g in groups.items() if len(g) > 1 for s in g]
-    for size in (1, 2, 3, 7, 60):
-        parts = [rows[i : i + size] for i in range(0, 60, size)]
-        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=["tok", "sid", "place"]) for p in parts]
+    for t, b, s, _ in rows:
+        groups.setdefault(t, set()).add((b, s))
+    want = [(t, s, min(x for c, x in g if c == b)) for t, g in groups.items() if len(g) > 1 for b, s in g]
+    for size in (1, 2, 3, 7, 63):
+        parts = [rows[i : i + size] for i in range(0, 63, size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=["tok", "band", "sid", "place"]) for p in parts]
         got = [(r["tok"], r["sid"], r["first"]) for b in _meet(iter(batches)) for r in b.to_pylist()]
-        assert sorted(set(got)) == sorted(want) and len(got) == len(want), size
+        assert sorted(got) == sorted(want), size
+
+
+def test_frequencies_over_tasks(spark, monkeypatch):
+    """Counts of all tasks, whatever the chunks, and the bound on the list."""
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 1 << 58, 3000, dtype=np.uint64)
+    every = np.concatenate([hashes, np.repeat(hashes[:40], 7), np.repeat(hashes[:5], 60)])
+    for flush in (1 << 20, 97):
+        monkeypatch.setattr(frequencies, "FLUSH", flush)
+        lead, batches = frequencies.leading_bits(40_000, 58), []
+        for part in np.array_split(rng.permutation(every), 5):
+            counter = frequencies.Counter(58, lead)
+            for piece in np.array_split(part, 9):
+                batches += counter.add(piece)
+            batches.append(counter.flush())
+        chunks = spark.createDataFrame(pa.Table.from_batches(batches))
+        values, levels = frequencies.frequent(chunks, lead)
+        found = dict(zip(values.tolist(), levels.tolist()))
+        assert found == {int(h) >> (58 - lead): 4 if i < 5 else 1 for i, h in enumerate(hashes[:40])}
+    monkeypatch.setattr(frequencies, "MOST", 10)
+    assert len(frequencies.frequent(chunks, lead)[0]) == 5
