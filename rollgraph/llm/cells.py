@@ -37,11 +37,12 @@ _KEYS = ["dim", "qrun", "qsalt", "drun", "dsalt"]
 class Node:
     """A cover-tree node: its rows lie within ``radius`` of ``centre``."""
 
-    __slots__ = ("rows", "centre", "radius", "children")
+    __slots__ = ("rows", "centre", "norm", "radius", "children")
 
     def __init__(self, points: np.ndarray, rows: np.ndarray):
         self.rows = rows
         self.centre = points[rows].mean(axis=0)
+        self.norm = float(np.linalg.norm(self.centre))
         away = np.linalg.norm(points[rows] - self.centre, axis=1)
         self.radius = float(away.max()) * (1 + 1e-12)
         self.children: list[Node] = []
@@ -85,7 +86,8 @@ def leaves(node: Node) -> list[Node]:
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers held as doubles."""
-    if len(a) and len(b) and float(np.abs(a).max() * np.abs(b).max() * a.shape[1]) < 2**53:
+    most = max(a.max(initial=0), -a.min(initial=0)) * max(b.max(initial=0), -b.min(initial=0))
+    if most * a.shape[1] < 2**53:
         return (a @ b.T).astype(np.int64)
     whole = lambda m: np.array([[int(x) for x in row] for row in m], object).reshape(m.shape)
     return whole(a) @ whole(b).T

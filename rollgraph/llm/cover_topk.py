@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from rollgraph.llm import cells
 
-QUERY_LEAF = 8
-DATA_LEAF = 128
+QUERY_LEAF = 32
+DATA_LEAF = 256
 
 
 def top_k(
@@ -42,7 +42,7 @@ def top_k(
 
     def bound(q: cells.Node, d: cells.Node) -> float:
         value = float(q.centre @ d.centre)
-        slack = q.radius * np.linalg.norm(d.centre) + d.radius * np.linalg.norm(q.centre) + q.radius * d.radius
+        slack = q.radius * d.norm + d.radius * q.norm + q.radius * d.radius
         return value + slack + 1e-9 * (abs(value) + slack) + 0.5
 
     roots = cells.grow(queries, QUERY_LEAF), cells.grow(data, DATA_LEAF)
@@ -57,14 +57,17 @@ def top_k(
             continue
         scores = cells.products(queries[q.rows], data[d.rows])
         computed += scores.size
-        own = np.broadcast_to(ids[d.rows], scores.shape)
-        scores = np.where(own == query_ids[q.rows][:, None], cells.LEAST, scores)
-        merged = np.concatenate([best[q.rows], scores], axis=1)
-        merged_ids = np.concatenate([best_ids[q.rows], own], axis=1)
+        scores = np.where(ids[d.rows] == query_ids[q.rows][:, None], cells.LEAST, scores)
+        hit = (scores >= worst[q.rows][:, None]).any(axis=1)
+        some, scores = q.rows[hit], scores[hit]
+        if not len(some):
+            continue
+        merged = np.concatenate([best[some], scores], axis=1)
+        merged_ids = np.concatenate([best_ids[some], np.broadcast_to(ids[d.rows], scores.shape)], axis=1)
         order = np.lexsort((merged_ids, -merged), axis=-1)[:, :k]
-        best[q.rows] = np.take_along_axis(merged, order, axis=1)
-        best_ids[q.rows] = np.take_along_axis(merged_ids, order, axis=1)
-        worst[q.rows] = np.maximum(worst[q.rows], best[q.rows, -1])
+        best[some] = np.take_along_axis(merged, order, axis=1)
+        best_ids[some] = np.take_along_axis(merged_ids, order, axis=1)
+        worst[some] = np.maximum(worst[some], best[some, -1])
     return best_ids, best, computed
 
 
