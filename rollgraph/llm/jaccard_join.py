@@ -1,30 +1,38 @@
 """N-gram Jaccard join over prefix trees (operator 4).
 
-A document is the set of its word shingles.  All sets are kept in one global
-order: shingles of crowded hash buckets last, else by hash.  Two sets that reach
-the threshold share a shingle in their first ``n - ceil(t * n) + 1``.
-
-1. Profiles: every document's set size and set id; equal sets are one set from
-   here on, so any number of copies costs one row each.
-2. Postings of the prefixes, grouped by shingle in one shuffle.  Each set meets
-   the group's first set, which is linear in the group.
-3. Met pairs with enough shared prefix are verified in prefix trees: the sets
-   that meet one set arrive in lexicographic order, which is the depth-first
-   order of their trie.  A set reuses the overlap counted along the path it shares
-   with the one before, and a path is left for good once the overlap so far plus
-   the rest of the shorter set cannot reach the threshold.
-4. Verified links make components.  Pairs of *different* components that share
-   any prefix shingle are listed completely, counted, pruned by the length that
-   remains behind both prefixes, and verified in the same way.  What is not
-   listed is in one component already or cannot reach the threshold, so the
-   components are those of all links.
-
-Hot groups: copies collapse in step 1, near copies meet around a star,
-sets that meet one centre are dealt over several tries of bounded size, and the
-order moves shingles that many documents share behind the prefixes.
-
-Cases: null and empty texts have no shingles and no links; a null doc_id never
-names a component, but links its neighbours; repeated rows are returned each.
+A document is the set of its word shingles.  Equal sets are one set, so any number of
+copies costs one row each.  The join reads the texts once:
+
+1. Shingles of a block of texts are sent to ranges of hashes, one entry for each
+   shingle and block.  A shingle that only one set has can be in no overlap: it does not
+   come back.  What comes back is, for each set, its shared shingles in the global
+   order, rare ones first (by doublings of their number, then by hash).  A set whose
+   shared shingles are fewer than the threshold of its size has no partner and is done.
+2. The order makes a trie of the sets; a partner at the threshold shares a shingle in
+   the first ``n - ceil(t * n) + 1``, of which the unshared ones come first and need no
+   row.  The subtrees that hold a shingle of these prefixes are grouped by it.
+3. Each set meets two centres: of its rarest group and of its most common one, each
+   group's centre of a size band being the set with the fewest shingles of its own, which
+   is what near copies are copies of.  Met pairs are verified in tries (below), links
+   make components.
+4. Pairs of *different* components that share any prefix shingle are listed
+   completely, counted, pruned by the shared shingles that remain on both sides, and
+   verified.  What is not listed is in one component already or cannot reach the
+   threshold, so the components are those of all links.
+
+Verification walks one trie for each centre: the sets that meet it arrive in
+lexicographic order, which is depth first.  A set reuses the overlap counted along the
+path it shares with the one before, and a path is left for good once the overlap so far
+plus the rest of the shorter set cannot reach the threshold.
+
+Hot groups: copies collapse, a shingle of a third of all sets is one entry a block, near
+copies meet around a star, and sets that meet one centre are dealt over several tries.
+
+Cases: null and empty texts have no shingles and no links; a null doc_id never names a
+component, but links its neighbours; repeated rows are returned each; ties between
+centres go to the smaller set id, which changes no component; texts of any length are
+read whole; an empty table gives no rows; other columns are ignored, whatever their names.
+A set is known by 64 bits of hash and its size.
 """
 
 from __future__ import annotations
@@ -33,20 +41,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollgraph.llm import frequencies, sketches
 from rollgraph.llm import words as w
 from rollgraph.llm.store import materialise
 from rollgraph.operators.components import cluster_pairs
 
 WORDS = 5
 PERCENT = 80
-FILTER = 1 << 22
+BLOCK = 1 << 21  # shingles of a block
+SPAN = 1 << 22  # shingles of a range, about
 TRIE_SETS = 4096  # sets that one centre meets in one trie
 _HASH_BITS = 58
 _MASK = np.uint64((1 << _HASH_BITS) - 1)
+_MANY = 0xFFFF  # stands for the sets of a block that have a shingle, when there are several
+_SPREAD = 4096
+
+# What tasks send: shingles of a range, a block's sets, its shingles of several sets,
+# shared shingles on the way back, documents.
+_RANGE, _SETS, _LOCAL, _BACK, _DOCUMENT = range(5)
+ROW_SCHEMA = "kind int, span int, block long, toks binary, idx binary, more binary, doc_id long, n long, sid long"
+ROW = pa.schema(
+    [("kind", pa.int32()), ("span", pa.int32()), ("block", pa.int64()), ("toks", pa.binary()), ("idx", pa.binary()),
+     ("more", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64())]
+)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, k: int, breaks: np.ndarray = w.BLANK) -> list[np.ndarray]:
@@ -87,41 +107,174 @@ def set_ids(sets: list[np.ndarray]) -> np.ndarray:
     return w.signed(ids)
 
 
-def _profiles(batches: Iterator[pa.RecordBatch], k: int, lead: int) -> Iterator[pa.RecordBatch]:
-    """A row per document, and besides the task's shingles for the frequencies."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.int64()), *frequencies.CHUNK])
-    counter = frequencies.Counter(_HASH_BITS, lead)
+def span_bits(text_bytes: int) -> int:
+    """Leading bits of a hash that make its range."""
+    return min(22, max(10, (text_bytes // (6 * SPAN)).bit_length()))
+
 
-    def chunks(packed: pa.RecordBatch) -> pa.RecordBatch:
-        nulls = pa.nulls(packed.num_rows, pa.int64())
-        return pa.RecordBatch.from_arrays([nulls, nulls, nulls, *packed.columns], schema=schema)
+def _rows(**columns: list) -> pa.RecordBatch:
+    size = max(len(c) for c in columns.values())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in ROW], schema=ROW
+    )
 
+
+class _Block:
+    """Sets of a task until there are many, then the rows that carry them."""
+
+    def __init__(self, task: int, bits: int, most: tuple[int, int]):
+        self.low = np.uint64(_HASH_BITS - bits)
+        self.task, self.number, self.most = task, 0, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.sets: list[np.ndarray] = []
+        self.sids: dict[int, int] = {}
+        self.size = 0
+
+    def add(self, tokens: np.ndarray, sid: int) -> Iterator[pa.RecordBatch]:
+        if sid in self.sids:
+            return
+        self.sids[sid] = len(self.sets)
+        self.sets.append(tokens)
+        self.size += len(tokens)
+        if self.size >= self.most[0] or len(self.sets) >= self.most[1]:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.sets:
+            return
+        block = (self.task << 32) + self.number
+        self.number += 1
+        sizes = np.array([len(s) for s in self.sets])
+        tokens = np.concatenate(self.sets)
+        owner = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        start = np.flatnonzero(w.first_of_runs(tokens))
+        count = np.diff(np.append(start, len(tokens)))
+        beside = -1 - block % _SPREAD
+        yield _rows(kind=[_SETS], span=[beside], block=[block], toks=[np.array(list(self.sids), np.int64).tobytes()], more=[sizes.astype(np.int64).tobytes()])
+        several = np.repeat(count > 1, count)
+        if several.any():
+            yield _rows(kind=[_LOCAL], span=[beside], block=[block], toks=[tokens[several].tobytes()], idx=[owner[several].tobytes()])
+        one, own = tokens[start], np.where(count > 1, np.uint16(_MANY), owner[start])
+        span = (one >> self.low).astype(np.int32)
+        at = np.flatnonzero(w.first_of_runs(span))
+        stop = np.append(at[1:], len(one))
+        low = one & ((np.uint64(1) << self.low) - np.uint64(1))
+        bytes_of = low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        heavy = [count[a:b][count[a:b] > 1].astype(np.uint32).tobytes() for a, b in zip(at, stop)]
+        yield _rows(
+            kind=[_RANGE] * len(at), span=span[at], block=[block] * len(at), more=heavy,
+            toks=[bytes_of[a:b].tobytes() for a, b in zip(at, stop)], idx=[own[a:b].tobytes() for a, b in zip(at, stop)],
+        )
+        self.clear()
+
+
+def _send(batches: Iterator[pa.RecordBatch], k: int, bits: int, most: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Documents with size and id of their set, and the blocks of sets."""
+    context = TaskContext.get()
+    block = _Block(context.partitionId() if context else 0, bits, most)
     for batch in batches:
         for low, high, data, bounds in w.text_slices(batch.column(1)):
             sets = shingle_sets(data, bounds, k)
             sids = set_ids(sets)
-            _, once = np.unique(sids, return_index=True)
-            for packed in counter.add(np.concatenate([sets[i] for i in once])):
-                yield chunks(packed)
             n = high - low
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[low:high].cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sids),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.binary())], schema=schema,
+            yield _rows(
+                kind=[_DOCUMENT] * n, span=-1 - np.arange(low, high, dtype=np.int32) % _SPREAD, sid=sids,
+                doc_id=batch.column(0)[low:high].cast(pa.int64()), n=[len(s) for s in sets],
             )
-    yield chunks(counter.flush())
+            for i in np.flatnonzero([len(s) for s in sets]):
+                yield from block.add(sets[i], int(sids[i]))
+    yield from block.flush()
+
+
+def _share(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by span: of each range the shingles that several sets have, for
+    each block, with their level on top.  Other rows pass through."""
+    low = np.uint64(_HASH_BITS - bits)
+    span, held = None, []
+
+    def back() -> pa.RecordBatch | None:
+        blocks = np.repeat([b for b, *_ in held], [len(t) for _, t, *_ in held])
+        tokens, owner, weight = (np.concatenate(c) for c in list(zip(*held))[1:])
+        order = np.argsort(tokens, kind="stable")
+        start = np.flatnonzero(w.first_of_runs(tokens[order]))
+        total = np.add.reduceat(weight[order], start)
+        level = np.zeros(len(tokens), np.uint64)
+        level[order] = np.repeat(np.where(total > 1, np.minimum(np.floor(np.log2(total)), 31), 0).astype(np.uint64), np.diff(np.append(start, len(order))))
+        kept = np.flatnonzero(level)
+        if not len(kept):
+            return None
+        keys = level[kept] << np.uint64(_HASH_BITS) | np.uint64(span) << low | tokens[kept]
+        at = np.flatnonzero(w.first_of_runs(blocks[kept]))
+        stop = np.append(at[1:], len(kept))
+        return _rows(
+            kind=[_BACK] * len(at), block=blocks[kept][at],
+            toks=[keys[a:b].tobytes() for a, b in zip(at, stop)], idx=[owner[kept][a:b].tobytes() for a, b in zip(at, stop)],
+        )
 
+    for batch in batches:
+        kinds = np.asarray(batch.column(0))
+        yield batch.filter(pa.array(kinds != _RANGE))
+        rows = batch.filter(pa.array(kinds == _RANGE))
+        for at, block, toks, idx, heavy in zip(*(rows.column(i).to_pylist() for i in range(1, 6))):
+            if at != span and held:
+                found = back()
+                if found is not None:
+                    yield found
+                held = []
+            span = at
+            own = np.frombuffer(idx, np.uint16)
+            wide = np.zeros((len(own), 8), np.uint8)
+            wide[:, :6] = np.frombuffer(toks, np.uint8).reshape(-1, 6)
+            weight = np.ones(len(own), np.int64)
+            weight[own == _MANY] = np.frombuffer(heavy, np.uint32)
+            held.append((block, wide.view("<u8").ravel().astype(np.uint64), own, weight))
+    if held:
+        found = back()
+        if found is not None:
+            yield found
+
+
+def _gather(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block: each set with its shared shingles, if they are enough.
+    Big-endian bytes sort like the shingles."""
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("toks", pa.binary())])
+    block, held = None, {}
+
+    def sets() -> pa.RecordBatch:
+        sids, sizes = np.frombuffer(held[_SETS][0][0], np.int64), np.frombuffer(held[_SETS][0][2], np.int64)
+        none = [(b"", b"", None)]
+        keys = np.concatenate([np.frombuffer(t, np.uint64) for t, _, _ in held.get(_BACK, none)])
+        owner = np.concatenate([np.frombuffer(i, np.uint16) for _, i, _ in held.get(_BACK, none)])
+        tokens, local = (np.frombuffer(held.get(_LOCAL, none)[0][j], kind) for j, kind in ((0, np.uint64), (1, np.uint16)))
+        # Shingles of several sets of the block: their level came back once.
+        many = np.sort(keys[owner == _MANY] & _MASK), keys[owner == _MANY][np.argsort(keys[owner == _MANY] & _MASK)]
+        known = many[1][np.searchsorted(many[0], tokens)] if len(tokens) else tokens
+        keys, owner = np.concatenate([keys[owner != _MANY], known]), np.concatenate([owner[owner != _MANY], local]).astype(np.int64)
+        order = np.lexsort((keys, owner))
+        keys, bounds = keys[order].astype(">u8"), np.searchsorted(owner[order], np.arange(len(sids) + 1))
+        common = np.diff(bounds)
+        some = np.flatnonzero(common * 100 >= sizes * percent)
+        toks = [keys[bounds[i] : bounds[i + 1]].tobytes() for i in some]
+        return pa.RecordBatch.from_arrays([pa.array(sids[some]), pa.array(sizes[some]), pa.array(toks, pa.binary())], schema=schema)
 
-Order = tuple[int, np.ndarray, np.ndarray]  # leading bits, and the frequent values with their levels
+    for batch in batches:
+        for at, kind, toks, idx, more in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if at != block and held:
+                yield sets()
+                held = {}
+            block = at
+            held.setdefault(kind, []).append((toks, idx, more))
+    if held:
+        yield sets()
 
 
-def _ordered(tokens: np.ndarray, order: Order) -> np.ndarray:
-    """Tokens with their level on top, sorted: the global order as integers."""
-    lead, values, levels = order
-    if len(values):
-        own = tokens >> np.uint64(_HASH_BITS - lead)
-        at = np.minimum(np.searchsorted(values, own), len(values) - 1)
-        tokens = np.where(values[at] == own, levels[at], np.uint64(0)) << np.uint64(_HASH_BITS) | tokens
-    return np.sort(tokens)
+def prefix_length(n, percent: int):
+    """Shingles of which a partner at ``percent`` must share one."""
+    return n - (n * percent + 99) // 100 + 1
 
 
 def band_of(n: np.ndarray, percent: int) -> np.ndarray:
@@ -134,85 +287,63 @@ def prefix_length(n, percent: int):
     return n - (n * percent + 99) // 100 + 1
 
 
-def _postings(batches: Iterator[pa.RecordBatch], k: int, percent: int, order: Order) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([(c, pa.int64()) for c in ("tok", "band", "sid", "place")])
-    for batch in batches:
-        for _, _, data, bounds in w.text_slices(batch.column(0)):
-            sets = shingle_sets(data, bounds, k)
-            sids = set_ids(sets)
-            toks, owners, places, bands = [], [], [], []
-            for i in np.unique(sids, return_index=True)[1]:
-                n = len(sets[i])
-                if n == 0:
-                    continue
-                p = prefix_length(n, percent)
-                toks.append(_ordered(sets[i], order)[:p])
-                owners.append(np.full(p, sids[i]))
-                bands.append(np.full(p, band_of(np.array(n), percent)))
-                places.append((n << 31) + np.arange(p))
-            if toks:
-                columns = [w.signed(np.concatenate(toks)), *(np.concatenate(c) for c in (bands, owners, places))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+POSTING = pa.schema([(c, pa.int64()) for c in ("tok", "band", "own", "sid", "n", "c", "i")])
+POSTING_SCHEMA = ", ".join(f"{c} long" for c in POSTING.names)
+MET = pa.schema([(c, pa.int64()) for c in ("tok", "sid", "n", "c", "i", "first", "fn", "fc", "fi")])
+MET_SCHEMA = ", ".join(f"{c} long" for c in MET.names)
 
 
-MET = pa.schema([(c, pa.int64()) for c in ("tok", "sid", "place", "first", "first_place")])
-MET_SCHEMA = "tok long, sid long, place long, first long, first_place long"
+def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The shared shingles of each set's prefix, with its place ``i`` among its ``c``
+    shared ones; ``own`` counts those that no other set has."""
+    for batch in batches:
+        sids, sizes = (np.asarray(batch.column(i)) for i in range(2))
+        columns = []
+        for sid, n, raw in zip(sids.tolist(), sizes.tolist(), batch.column(2).to_pylist()):
+            toks = np.frombuffer(raw, ">u8").astype(np.uint64)
+            c = len(toks)
+            p = max(0, prefix_length(n, percent) - (n - c))
+            band = int(band_of(np.array(n), percent))
+            columns.append(np.stack([w.signed(toks[:p]), *(np.full(p, x) for x in (band, n - c, sid, n, c)), np.arange(p)]))
+        if columns:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(columns, axis=1)], schema=POSTING)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (tok, band, sid), of shingles with several sets only, each with the
-    first set of its shingle and band.
+    """Rows sorted by (tok, band, own, sid), of shingles with several sets only, each
+    with the first set of its shingle and band.
 
     Streams: the last row is held back until the next one shows whether it is alone.
     """
     held = first = None
     seen = False  # whether the held row has one of its shingle before it
     for batch in batches:
-        tok, band, sid, place = (np.asarray(batch.column(i)) for i in range(4))
+        columns = np.stack([np.asarray(c) for c in batch.columns])
         if held is not None:
-            tok, band, sid, place = (np.concatenate([[x], c]) for x, c in zip(held, (tok, band, sid, place)))
-        new = w.first_of_runs(tok, band, sid)
-        tok, band, sid, place = tok[new], band[new], sid[new], place[new]
-        if len(tok) == 0:
+            columns = np.concatenate([held, columns], axis=1)
+        columns = columns[:, w.first_of_runs(columns[0], columns[3])]
+        if columns.shape[1] == 0:
             continue
+        tok, band = columns[:2]
         start = w.first_of_runs(tok, band)
         lead = np.maximum.accumulate(np.where(start, np.arange(len(tok)), 0))
-        f_sid, f_place = sid[lead], place[lead]
+        centre = columns[3:, lead]
         if first is not None:
-            f_sid, f_place = np.where(lead == 0, first[0], f_sid), np.where(lead == 0, first[1], f_place)
+            centre = np.where(lead == 0, first, centre)
         before = ~w.first_of_runs(tok)
         before[0] = seen
-        behind = np.append(before[1:], False)
-        out = np.flatnonzero((before | behind)[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (tok, sid, place, f_sid, f_place)], schema=MET)
-        held, first, seen = (tok[-1], band[-1], sid[-1], place[-1]), (f_sid[-1], f_place[-1]), bool(before[-1])
+        out = np.flatnonzero((before | np.append(before[1:], False))[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (tok, *columns[3:], *centre)], schema=MET)
+        held, first, seen = columns[:, -1:], centre[:, -1:], bool(before[-1])
     if seen:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (held[0], held[2], held[3], *first)], schema=MET)
-
-
-def _size(place):
-    return F.shiftright(place, 31)
-
-
-def _prefix(n, percent: int):
-    return n - F.floor((n * percent + 99) / 100) + 1
-
-
-def _counted(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, pa, b, pb), one row per shared prefix shingle, as distinct pairs
-    that share enough to reach the threshold with all that is behind the prefixes."""
-    grouped = pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-    behind = F.greatest(F.col("na") - _prefix(F.col("na"), percent), F.col("nb") - _prefix(F.col("nb"), percent))
-    enough = (F.col("c") + behind) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
-    return grouped.where(enough).select("a", "b")
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (held[0], *held[3:], *first)], schema=MET)
 
 
 def _possible(percent: int):
     """Sizes, and places of the shared shingle, that allow the threshold."""
     na, nb = F.col("na"), F.col("nb")
-    place = lambda x: F.col(x).bitwiseAND(F.lit((1 << 31) - 1))
-    before = F.least(place("pa"), place("pb"))
-    after = F.least(na - place("pa"), nb - place("pb"))
+    before = F.least("ia", "ib")
+    after = F.least(F.col("ca") - F.col("ia"), F.col("cb") - F.col("ib"))
     return (
         (na * 100 >= nb * percent)
         & (nb * 100 >= na * percent)
@@ -220,30 +351,9 @@ def _possible(percent: int):
     )
 
 
-def _as_pairs(rows: DataFrame, x: str, px: str, y: str, py: str, percent: int) -> DataFrame:
-    """Pairs with the smaller set id as ``a``."""
-    swap = F.col(x) > F.col(y)
-    pairs = rows.select(
-        F.when(swap, F.col(y)).otherwise(F.col(x)).alias("a"), F.when(swap, F.col(py)).otherwise(F.col(px)).alias("pa"),
-        F.when(swap, F.col(x)).otherwise(F.col(y)).alias("b"), F.when(swap, F.col(px)).otherwise(F.col(py)).alias("pb"),
-    )
-    pairs = pairs.withColumns({"na": _size("pa"), "nb": _size("pb")})
-    return pairs.where(_possible(percent)).select("a", "b", "na", "nb")
-
-
-def _wanted_sets(batches: Iterator[pa.RecordBatch], k: int, order: Order, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(sid, ordered tokens) of sets that the filter lets pass; big-endian bytes
-    sort like the tokens."""
-    schema = pa.schema([("sid", pa.int64()), ("toks", pa.binary())])
-    for batch in batches:
-        for _, _, data, bounds in w.text_slices(batch.column(0)):
-            sets = shingle_sets(data, bounds, k)
-            sids = set_ids(sets)
-            once = np.unique(sids, return_index=True)[1]
-            once = once[wanted[sids[once].view(np.uint64) & np.uint64(len(wanted) - 1)]]
-            once = [i for i in once if len(sets[i])]
-            toks = [_ordered(sets[i], order).astype(">u8").tobytes() for i in once]
-            yield pa.RecordBatch.from_arrays([pa.array(sids[once]), pa.array(toks, pa.binary())], schema=schema)
+def _sides(a: str, b: str) -> dict:
+    """Columns n, c and i of two sides under the names of a pair."""
+    return {f"{x}{side}": F.col(f"{prefix}{x}") for side, prefix in (("a", a), ("b", b)) for x in "nci"}
 
 
 def _shared_path(x: np.ndarray, y: np.ndarray) -> int:
@@ -260,25 +370,24 @@ def _shared_path(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _walk_tries(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (a, salt, b, toks) sorted by (a, salt, b is null first, toks): a centre,
+    """Rows (a, salt, b, n, toks) sorted by (a, salt, b is null first, toks): a centre,
     then the sets it meets in trie order.  Links come out."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     centre = tree = None
     for batch in batches:
-        ca, cs, cb, ct = (batch.column(i) for i in range(4))
         out_a, out_b = [], []
-        for a, salt, b, raw in zip(ca.to_pylist(), cs.to_pylist(), cb.to_pylist(), ct.to_pylist()):
+        for a, salt, b, n, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
             toks = np.frombuffer(raw, ">u8").astype(np.uint64)
             if b is None:
-                centre, tree = (a, salt, toks), None
+                centre, tree = (a, salt, n, toks), None
                 continue
             if centre is None or centre[:2] != (a, salt):
                 raise ValueError(f"set {a} has no tokens")
-            path = _Path(centre[2], toks, percent, tree)
-            if path.linked:
+            need = -(-percent * (centre[2] + n) // (100 + percent))
+            tree = _Path(centre[3], toks, need, tree)
+            if tree.linked:
                 out_a.append(a)
                 out_b.append(b)
-            tree = path
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], schema=schema)
 
 
@@ -286,15 +395,14 @@ class _Path:
     """A root-to-leaf path of the trie, with the overlap at every depth.
 
     ``overlap[d]`` counts the first d shingles that the centre has, too.  The part
-    shared with the path before is taken over.  ``dead`` is the depth from which no
-    set below can reach the threshold.
+    shared with the path before is taken over; ``known`` is the depth up to which it was
+    counted before the bound cut the path.
     """
 
     STEP = 64
 
-    def __init__(self, centre: np.ndarray, toks: np.ndarray, percent: int, before: _Path | None):
+    def __init__(self, centre: np.ndarray, toks: np.ndarray, need: int, before: _Path | None):
         na, nb = len(centre), len(toks)
-        need = -(-percent * (na + nb) // (100 + percent))
         self.toks, self.linked = toks, False
         depth = 0
         overlap = np.zeros(nb + 1, np.int64)
@@ -315,69 +423,70 @@ class _Path:
         self.linked = depth == nb and int(overlap[nb]) >= need
 
 
-def _verified(documents: DataFrame, pairs: DataFrame, k: int, percent: int, order: Order) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs of set ids that reach the threshold."""
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    wanted = sketches.members(ids, FILTER)
-    sets = documents.select("text").mapInArrow(lambda it: _wanted_sets(it, k, order, wanted), "sid long, toks binary")
-    sets = materialise(sets.join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A centre with many partners gets several tries.
     degrees = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE_SETS).alias("tries"))
     centres = degrees.join(sets, degrees["a"] == sets["sid"]).select(
         "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tries") - 1)).alias("salt"),
-        F.lit(None).cast("long").alias("b"), "toks",
+        F.lit(None).cast("long").alias("b"), "n", "toks",
     )
     met = pairs.join(degrees, "a").join(sets, F.col("b") == F.col("sid"))
-    met = met.select("a", F.pmod(F.xxhash64("b"), F.col("tries")).alias("salt"), "b", "toks")
+    met = met.select("a", F.pmod(F.xxhash64("b"), F.col("tries")).alias("salt"), "b", "n", "toks")
     tries = centres.unionByName(met).repartition(parts, "a", "salt")
     tries = tries.sortWithinPartitions("a", "salt", F.col("b").isNotNull(), "toks")
     return tries.mapInArrow(lambda it: _walk_tries(it, percent), "a long, b long")
 
 
+def shared_sets(documents: DataFrame, k: int, percent: int, most: tuple[int, int] = (BLOCK, _MANY)) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, sid) of every row, and (sid, n, toks) of the sets that can have a
+    partner: their size and their shared shingles in the global order.  A block has
+    at most about ``most`` shingles and sets."""
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = span_bits(documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    sent = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _send(it, k, bits, most), ROW_SCHEMA)
+    shared = sent.repartition(parts, "span").sortWithinPartitions("span")
+    rows = materialise(shared.mapInArrow(lambda it: _share(it, bits), ROW_SCHEMA), "jaccard-shared")
+    blocks = rows.where(F.col("kind") != _DOCUMENT).select("block", "kind", "toks", "idx", "more")
+    sets = blocks.repartition(parts, "block").sortWithinPartitions("block")
+    sets = sets.mapInArrow(lambda it: _gather(it, percent), "sid long, n long, toks binary")
+    sets = sets.dropDuplicates(["sid", "n"])  # copies in several blocks
+    return rows.where(F.col("kind") == _DOCUMENT).select("doc_id", "n", "sid"), materialise(sets, "jaccard-sets")
+
+
 def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; documents link when 100 *
     intersection >= ``percent`` * union of their sets of ``k``-word shingles."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = documents.select("text")
-    lead = frequencies.leading_bits(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0, _HASH_BITS)
-    profile_schema = f"doc_id long, n long, sid long, {frequencies.CHUNK_SCHEMA}"
-    found = materialise(
-        documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _profiles(it, k, lead), profile_schema),
-        "jaccard-profiles",
-    )
-    order = (lead, *frequencies.frequent(found.where("span IS NOT NULL").select("span", "wide", "diffs"), lead))
-    profiles = found.where("span IS NULL").select("doc_id", "n", "sid")
-
-    postings = texts.mapInArrow(lambda it: _postings(it, k, percent, order), "tok long, band long, sid long, place long")
-    met = materialise(
-        postings.repartition(parts, "tok").sortWithinPartitions("tok", "band", "sid").mapInArrow(_meet, MET_SCHEMA),
-        "jaccard-met",
-    )
+    profiles, sets = shared_sets(documents, k, percent)
+    postings = sets.mapInArrow(lambda it: _postings(it, percent), POSTING_SCHEMA)
+    met = postings.repartition(parts, "tok").sortWithinPartitions("tok", "band", "own", "sid")
+    met = materialise(met.mapInArrow(_meet, MET_SCHEMA), "jaccard-met")
     # Two centres for each set: of its rarest shingle that others have, and of its most common.
-    able = met.where("sid <> first").withColumns({"na": _size("place"), "nb": _size("first_place"), "pa": F.col("place"), "pb": F.col("first_place")})
+    able = met.where("sid <> first").withColumns(_sides("", "f")).where(_possible(percent))
     level = F.shiftright("tok", _HASH_BITS)
-    centres = able.where(_possible(percent)).groupBy("sid").agg(
-        F.min_by("first", "tok").alias("x"), F.max_by("first", F.struct(level, -F.col("tok"))).alias("y")
-    )
-    near = centres.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("first"), "sid")
-    near = near.select(F.col("first").alias("a"), F.col("sid").alias("b"))
-    links = _verified(texts, materialise(near, "jaccard-near"), k, percent, order)
+    centres = able.groupBy("sid").agg(F.min_by("first", "tok").alias("x"), F.max_by("first", F.struct(level, -F.col("tok"))).alias("y"))
+    near = centres.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), F.col("sid").alias("b"))
+    links = _verified(sets, materialise(near, "jaccard-near"), percent)
     groups = materialise(cluster_pairs(links, "a", "b"), "jaccard-groups")
 
     # Pairs of different components that share a prefix shingle, all of them.
-    rows = met.select("tok", "sid", "place").join(groups.withColumnRenamed("id", "sid"), "sid", "left")
+    rows = met.select("tok", "sid", "n", "c", "i").join(groups.withColumnRenamed("id", "sid"), "sid", "left")
     rows = rows.withColumn("cluster", F.coalesce("cluster", "sid"))
     sizes = rows.groupBy("tok", "cluster").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("tok").agg(F.count(F.lit(1)).alias("k"), F.max_by("cluster", F.struct("m", "cluster")).alias("major"))
     rows = materialise(rows.join(mixed.where("k > 1").select("tok", "major"), "tok"), "jaccard-mixed")
-    minor = rows.where("cluster <> major").select(
-        "tok", F.col("sid").alias("x"), F.col("place").alias("px"), F.col("cluster").alias("cx")
+    minor = rows.where("cluster <> major").select("tok", *[F.col(c).alias(f"x{c}") for c in ("sid", "n", "c", "i", "cluster")])
+    across = minor.join(rows, "tok").where("xcluster <> cluster AND (cluster = major OR xsid < sid)")
+    across = across.withColumns(_sides("x", "")).where(_possible(percent))
+    # Shared prefix shingles of a pair, and the most that can be behind both prefixes.
+    wide = across.groupBy(F.least("xsid", "sid").alias("a"), F.greatest("xsid", "sid").alias("b")).agg(
+        F.count(F.lit(1)).alias("common"), F.max("na").alias("na"), F.max("nb").alias("nb")
     )
-    across = minor.join(rows, "tok").where("cx <> cluster AND (cluster = major OR x < sid)")
-    wide = _counted(_as_pairs(across, "x", "px", "sid", "place", percent), percent)
-    more = _verified(texts, materialise(wide, "jaccard-across"), k, percent, order)
-    more = materialise(more, "jaccard-more")
+    length = lambda n: F.floor((F.col(n) * percent + 99) / 100) - 1
+    wide = wide.where((F.col("common") + F.greatest(length("na"), length("nb"))) * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+    more = materialise(_verified(sets, materialise(wide.select("a", "b"), "jaccard-across"), percent), "jaccard-more")
     name = lambda side: groups.select(F.col("id").alias(side), F.col("cluster").alias(f"c{side}"))
     joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")

@@ -8,8 +8,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from rollgraph.llm import frequencies
-from rollgraph.llm.jaccard_join import _meet, link_components
+from rollgraph.llm import jaccard_join
+from rollgraph.llm.jaccard_join import POSTING, _meet, link_components
 
 
 def shingles(text, k=5):
@@ -77,35 +77,40 @@ def test_test_table(spark):
 
 def test_groups_over_batches():
     rng = random.Random(2)
-    rows = sorted((rng.randrange(12), s % 2, s, 0) for s in (rng.randrange(9) for _ in range(60)))
-    rows += [(50, 0, 1, 0), (51, 0, 1, 0), (51, 1, 2, 0)]  # alone; two bands of one shingle
+    rows = sorted((rng.randrange(12), s % 2, s % 3, s, 9, 8, 7) for s in (rng.randrange(9) for _ in range(60)))
+    rows += [(50, 0, 0, 1, 9, 8, 7), (51, 0, 0, 1, 9, 8, 7), (51, 1, 0, 2, 9, 8, 7)]  # alone; two bands of one shingle
     groups = {}
-    for t, b, s, _ in rows:
-        groups.setdefault(t, set()).add((b, s))
-    want = [(t, s, min(x for c, x in g if c == b)) for t, g in groups.items() if len(g) > 1 for b, s in g]
+    for t, b, o, s, *_ in rows:
+        groups.setdefault(t, set()).add((b, o, s))
+    want = [(t, s, min((p, x) for c, p, x in g if c == b)[1]) for t, g in groups.items() if len(g) > 1 for b, _, s in g]
     for size in (1, 2, 3, 7, 63):
         parts = [rows[i : i + size] for i in range(0, 63, size)]
-        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=["tok", "band", "sid", "place"]) for p in parts]
-        got = [(r["tok"], r["sid"], r["first"]) for b in _meet(iter(batches)) for r in b.to_pylist()]
-        assert sorted(got) == sorted(want), size
-
-
-def test_frequencies_over_tasks(spark, monkeypatch):
-    """Counts of all tasks, whatever the chunks, and the bound on the list."""
-    rng = np.random.default_rng(4)
-    hashes = rng.integers(0, 1 << 58, 3000, dtype=np.uint64)
-    every = np.concatenate([hashes, np.repeat(hashes[:40], 7), np.repeat(hashes[:5], 60)])
-    for flush in (1 << 20, 97):
-        monkeypatch.setattr(frequencies, "FLUSH", flush)
-        lead, batches = frequencies.leading_bits(40_000, 58), []
-        for part in np.array_split(rng.permutation(every), 5):
-            counter = frequencies.Counter(58, lead)
-            for piece in np.array_split(part, 9):
-                batches += counter.add(piece)
-            batches.append(counter.flush())
-        chunks = spark.createDataFrame(pa.Table.from_batches(batches))
-        values, levels = frequencies.frequent(chunks, lead)
-        found = dict(zip(values.tolist(), levels.tolist()))
-        assert found == {int(h) >> (58 - lead): 4 if i < 5 else 1 for i, h in enumerate(hashes[:40])}
-    monkeypatch.setattr(frequencies, "MOST", 10)
-    assert len(frequencies.frequent(chunks, lead)[0]) == 5
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*p)], names=POSTING.names) for p in parts]
+        found = [r for b in _meet(iter(batches)) for r in b.to_pylist()]
+        assert sorted((r["tok"], r["sid"], r["first"]) for r in found) == sorted(want), size
+        assert all((r["n"], r["c"], r["i"], r["fn"], r["fc"], r["fi"]) == (9, 8, 7, 9, 8, 7) for r in found)
+
+
+def test_shared_sets_keep_every_overlap(spark):
+    """What comes back from small blocks: all shingles of two sets or more, in one order."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choices(words, k=rng.randrange(4, 60)) for _ in range(40)]
+    rows = [(i, " ".join(b[rng.randrange(3) : len(b) - rng.randrange(3)])) for i, b in enumerate(base * 3)]
+    rows += [(900 + i, rows[5][1]) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for most in ((1 << 21, 0xFFFF), (90, 0xFFFF), (1 << 21, 4)):
+        profiles, sets = jaccard_join.shared_sets(docs, 5, 0, most)
+        names = {r["doc_id"]: r["sid"] for r in profiles.collect()}
+        found = {r["sid"]: (r["n"], np.frombuffer(r["toks"], ">u8")) for r in sets.collect()}
+        plain = {names[i]: shingles(t) for i, t in rows}
+        assert len(found) == len(plain)
+        levels = {}
+        for sid, (n, toks) in found.items():
+            assert n == len(plain[sid]) and list(toks) == sorted(set(toks))
+            for t in toks:
+                assert levels.setdefault(int(t) & ((1 << 58) - 1), int(t) >> 58) == int(t) >> 58
+        for a, x in plain.items():
+            for b, y in plain.items():
+                if a < b:
+                    assert len(np.intersect1d(found[a][1], found[b][1])) == len(x & y)
