@@ -1,21 +1,26 @@
 """Language ID of words by a linear-chain conditional random field (operator 9).
 
-Every word has features: its first and last bytes (affixes), its byte n-grams, and
-its entry in a lexicon of frequent training words.  The field adds learned
-transitions between the languages of neighbouring words; forward-backward gives each
-word's language in code-switched text, and a document's language is the one with the
-largest share of its words.
-
-Training: at most ``SAMPLE_DOCS`` documents of each language (chosen by a hash of the
-id) and ``SAMPLE_WORDS`` words of each, mixed into code-switched sequences; log
-likelihood by batched forward-backward on the driver.  Prediction: one pass over whole
-texts, no shuffle.  Texts are cut into blocks of words whose transfer matrices are
-multiplied and scanned, so a long text costs no long loop and the result is the exact
-forward-backward of the whole text.
+Every word has features: its first and last bytes (affixes), all of its byte n-grams,
+and its entry in a lexicon of training words.  The field adds learned transitions
+between the languages of neighbouring words; forward-backward gives each word's language
+in code-switched text, and a document's language is the one with the largest share of
+its words.
+
+Training: of each language the documents whose id hashes below a threshold, about
+``SAMPLE_DOCS`` of them, and of each of these the ``SAMPLE_WORDS`` words of least hash of
+their place, over the whole text (words above ``LONG_WORD`` bytes are predicted but not
+learned from).  They are mixed into code-switched sequences; log likelihood by batched
+forward-backward on the driver.  Every language of the documents is learned.
+
+Prediction: one pass over whole texts and whole words, no shuffle.  Texts are cut into
+blocks of words whose transfer matrices are multiplied and scanned, so a long text costs
+no long loop and the result is the exact forward-backward of the whole text.
 
 Cases: ``und`` with score 0 for null texts and texts without a letter, or if there is
-nothing to learn from; a null doc_id is not learned from and not held out; ties go to
-the language first in code point order; repeated rows are predicted each.
+nothing to learn from; a null doc_id is not learned from and not held out; rows of one
+doc_id and language are learned from once; ties go to the language first in code point
+order; repeated rows are predicted each; an empty table gives no rows; of the columns
+kept, ``lang_pred`` and ``score`` are replaced.
 """
 
 from __future__ import annotations
@@ -32,46 +37,59 @@ from rollgraph.llm import words as w
 
 SAMPLE_DOCS = 300
 SAMPLE_WORDS = 300
-LANGUAGES = 32  # the most frequent ones are learned
-LEXICON = 20_000
+LONG_WORD = 256
 HASHED = 1 << 15
-WIDTH = 16  # bytes of a word that n-grams are taken from
+SEQUENCES = 12_000  # training sequences a round
 BLOCK = 32
+_CELLS = 1 << 20  # numbers of n-gram weights in memory at once
 RESULT_SCHEMA = "lang_pred string, score double"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def _features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashed affixes and n-grams of words, one row each; absent ones are HASHED."""
+def _hashed(kind: int, *parts: np.ndarray) -> np.ndarray:
+    x = np.full(len(parts[0]), kind * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
+    for part in parts:
+        x = (x ^ part) * np.uint32(0x01000193)
+        x ^= x >> np.uint32(15)
+    return (x * np.uint32(0x85EBCA6B)) >> np.uint32(32 - 15)
+
+
+def _affixes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashed first and last bytes of words, one row each; absent ones are HASHED."""
     size = end - start
-    n = len(start)
-    grid = np.zeros((n, WIDTH), np.uint32)
-    for j in range(WIDTH):
-        has = size > j
-        grid[has, j] = w.LOWER[data[start[has] + j]]
-    tail = np.zeros((n, 4), np.uint32)
-    for j in range(4):
-        has = size > j
-        tail[has, j] = w.LOWER[data[end[has] - 1 - j]]
-
-    def hashed(kind: int, *parts: np.ndarray) -> np.ndarray:
-        x = np.full(n, kind * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
-        for part in parts:
-            x = (x ^ part) * np.uint32(0x01000193)
-            x ^= x >> np.uint32(15)
-        return (x * np.uint32(0x85EBCA6B)) >> np.uint32(32 - 15)
-
-    out = []
-    for k in (1, 2, 3):
-        out.append(np.where(size >= k, hashed(k, *grid.T[:k]), HASHED))
-    for k in (1, 2, 3, 4):
-        out.append(np.where(size >= k, hashed(10 + k, *tail.T[:k]), HASHED))
+    last = max(len(data) - 1, 0)
+    head = [w.LOWER[data[np.minimum(start + j, last)]].astype(np.uint32) for j in range(3)]
+    tail = [w.LOWER[data[np.maximum(end - 1 - j, 0)]].astype(np.uint32) for j in range(4)]
+    out = [np.where(size >= k, _hashed(k, *head[:k]), HASHED) for k in (1, 2, 3)]
+    out += [np.where(size >= k, _hashed(10 + k, *tail[:k]), HASHED) for k in (1, 2, 3, 4)]
+    return np.stack(out, axis=1).astype(np.int64)
+
+
+def _grams(data: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word, hashed n-gram) for all n-grams of all words, ``piece`` at a time."""
     for k in (2, 3):
-        for j in range(WIDTH - k + 1):
-            out.append(np.where(size >= j + k, hashed(20 + k, *grid.T[j : j + k]), HASHED))
-    return np.stack(out, axis=1).astype(np.int32)
+        counts = np.maximum(end - start - k + 1, 0)
+        ends = np.cumsum(counts)
+        for low in range(0, int(ends[-1]) if len(ends) else 0, piece):
+            flat = np.arange(low, min(low + piece, int(ends[-1])))
+            word = np.searchsorted(ends, flat, side="right")
+            at = start[word] + flat - (ends[word] - counts[word])
+            yield word, _hashed(20 + k, *(w.LOWER[data[at + j]].astype(np.uint32) for j in range(k))).astype(np.int64)
+
+
+def _weights(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the table's rows over the features of each word."""
+    out = np.zeros((len(start), table.shape[1]), np.float32)
+    if not len(start):
+        return out
+    for column in _affixes(data, start, end).T:
+        out += table[column]
+    for word, gram in _grams(data, start, end, max(1024, _CELLS // table.shape[1])):
+        runs = np.flatnonzero(np.diff(word, prepend=-1))
+        out[word[runs]] += np.add.reduceat(table[gram], runs, axis=0)
+    return out
 
 
 @dataclass
@@ -96,10 +114,7 @@ class Field:
         hashes = w.word_hashes(found)
         kinds, one, which = np.unique(hashes, return_index=True, return_inverse=True)
         start, end = found.start[one], found.end[one]
-        ids = _features(found.data, start, end)
-        scores = self.known[self.entries(kinds)].astype(np.float32)
-        for k in range(ids.shape[1]):
-            scores = scores + self.hashed[ids[:, k]]
+        scores = self.known[self.entries(kinds)] + _weights(found.data, start, end, self.hashed)
         letters = np.zeros(len(found.data) + 1, np.int64)
         np.cumsum(_LETTER[found.data], out=letters[1:])
         worded = letters[end] > letters[start]
@@ -192,33 +207,31 @@ def posteriors(emit: np.ndarray, moves: np.ndarray, first: np.ndarray, bounds: n
 
 
 def _train(texts: list[tuple[str, str]], labels: list[str], rounds: int = 10, length: int = 32, seed: int = 11) -> Field:
-    """Fit on (text, label) pairs by gradient steps on mixed sequences."""
+    """Fit on (words, label) pairs by gradient steps on mixed sequences."""
     rng = np.random.default_rng(seed)
-    data, start, end, label = [], [], [], []
-    at = 0
-    for text, lang in texts:
-        raw = np.frombuffer(text.encode("utf-8"), np.uint8)
-        found = w.find_words(raw, np.array([0, len(raw)]))
-        keep = slice(0, SAMPLE_WORDS)
-        data.append(raw)
-        start.append(found.start[keep] + at)
-        end.append(found.end[keep] + at)
-        label.append(np.full(len(found.start[keep]), labels.index(lang)))
-        at += len(raw)
-    data, start, end, label = (np.concatenate(x) for x in (data, start, end, label))
+    place = {name: c for c, name in enumerate(labels)}
+    raws = [np.frombuffer(text.encode("utf-8"), np.uint8) for text, _ in texts]
+    found = w.find_words(np.concatenate(raws), np.concatenate([[0], np.cumsum([len(r) for r in raws])]))
+    label = np.array([place[lang] for _, lang in texts])[found.rows]
     k = len(labels)
-    found = w.Words(data, start, end, np.array([0, len(start)]))
-    hashes = w.word_hashes(found)
-    ids = _features(data, start, end)
-    lexicon, counts = np.unique(hashes, return_counts=True)
-    lexicon = np.sort(lexicon[np.lexsort((lexicon, -counts))][:LEXICON][: int((counts > 2).sum())])
+    # From here on words are distinct ones, with their features side by side.
+    hashes, one, kind, counts = np.unique(w.word_hashes(found), return_index=True, return_inverse=True, return_counts=True)
+    start, end = found.start[one], found.end[one]
+    owners, ids = [np.repeat(np.arange(len(one)), 7)], [_affixes(found.data, start, end).ravel()]
+    for word, gram in _grams(found.data, start, end, _CELLS):
+        owners.append(word)
+        ids.append(gram)
+    owners, ids = np.concatenate(owners), np.concatenate(ids)
+    order = np.argsort(owners, kind="stable")
+    ids, bounds = ids[order], np.searchsorted(owners[order], np.arange(len(one) + 1))
+    lexicon = hashes[counts > 2]
     field = Field(labels, np.zeros((HASHED + 1, k), np.float32), lexicon, np.zeros((len(lexicon) + 1, k), np.float32), np.ones((k, k), np.float32), np.full(k, 1 / k, np.float32))
     entry = field.entries(hashes)
     runs = [np.flatnonzero(label == c) for c in range(k)]
     runs = [r for r in runs if len(r)]
     steps = np.zeros((k, k))
     sums = [np.full(x.shape, 1e-2) for x in (field.hashed, field.known, steps)]
-    sequences = max(64, len(start) // length)
+    sequences = min(SEQUENCES, max(64, len(label) // length))
     for _ in range(rounds):
         # Sequences of one to four runs of neighbouring words, each of one language.
         rows, size = [], length
@@ -227,11 +240,14 @@ def _train(texts: list[tuple[str, str]], labels: list[str], rounds: int = 10, le
             pick = [runs[c] for c in rng.integers(0, len(runs), parts)]
             cuts = np.diff(np.concatenate([[0], np.sort(rng.integers(0, size + 1, parts - 1)), [size]]))
             rows.append(np.concatenate([np.take(r, rng.integers(0, len(r)) + np.arange(c), mode="wrap") for r, c in zip(pick, cuts)]))
-        order = np.stack(rows)
-        for some in np.array_split(order, max(1, len(order) // 256)):
+        for some in np.array_split(np.stack(rows), max(1, len(rows) // 256)):
             flat = some.ravel()
-            scores = field.known[entry[flat]] + field.hashed[ids[flat]].sum(axis=1)
-            emit = np.exp(scores - scores.max(axis=1, keepdims=True)).clip(1e-13).reshape(*some.shape, k)
+            used, where = np.unique(kind[flat], return_inverse=True)
+            width = bounds[used + 1] - bounds[used]
+            at = np.repeat(bounds[used] - np.cumsum(width) + width, width) + np.arange(int(width.sum()))
+            feature = ids[at]
+            scores = np.add.reduceat(field.hashed[feature], np.cumsum(width) - width, axis=0) + field.known[entry[used]]
+            emit = np.exp(scores - scores.max(axis=1, keepdims=True)).clip(1e-13)[where].reshape(*some.shape, k)
             moves = np.exp(steps)
             alpha, beta = np.empty(emit.shape), np.empty(emit.shape)
             alpha[:, 0] = _scaled(emit[:, 0])
@@ -242,17 +258,18 @@ def _train(texts: list[tuple[str, str]], labels: list[str], rounds: int = 10, le
                 beta[:, t] = _scaled((beta[:, t + 1] * emit[:, t + 1]) @ moves.T)
             gamma = alpha * beta
             gamma /= gamma.sum(axis=2, keepdims=True)
-            pairs = np.einsum("sti,ij,stj->stij", alpha[:, :-1], moves, beta[:, 1:] * emit[:, 1:])
-            pairs /= pairs.sum(axis=(2, 3), keepdims=True)
+            # Expected transitions: each neighbouring pair's chances sum to one.
+            front, behind = alpha[:, :-1].reshape(-1, k), (beta[:, 1:] * emit[:, 1:]).reshape(-1, k)
+            pairs = moves * ((front / ((front @ moves) * behind).sum(axis=1, keepdims=True)).T @ behind)
             truth = np.eye(k)[label[flat]]
             miss = (gamma.reshape(-1, k) - truth) / len(some)
             seen = truth.reshape(*some.shape, k)
-            move_miss = (pairs.sum(axis=(0, 1)) - np.einsum("sti,stj->ij", seen[:, :-1], seen[:, 1:])) / len(some)
-            grads = [np.zeros(field.hashed.shape), np.zeros(field.known.shape), move_miss]
+            taken = seen[:, :-1].reshape(-1, k).T @ seen[:, 1:].reshape(-1, k)
+            grads = [np.zeros(field.hashed.shape), np.zeros(field.known.shape), (pairs - taken) / len(some)]
             for c in range(k):
-                weight = np.repeat(miss[:, c], ids.shape[1])
-                grads[0][:, c] = np.bincount(ids[flat].ravel(), weight, minlength=HASHED + 1)
-                grads[1][:, c] = np.bincount(entry[flat], miss[:, c], minlength=len(lexicon) + 1)
+                own = np.bincount(where, miss[:, c], minlength=len(used))
+                grads[0][:, c] = np.bincount(feature, np.repeat(own, width), minlength=HASHED + 1)
+                grads[1][:, c] = np.bincount(entry[used], own, minlength=len(lexicon) + 1)
             grads[0][-1] = 0
             grads[1][-1] = 0
             for x, g, s, rate in zip((field.hashed, field.known, steps), grads, sums, (0.1, 0.1, 0.2)):
@@ -262,29 +279,50 @@ def _train(texts: list[tuple[str, str]], labels: list[str], rounds: int = 10, le
     return field
 
 
+def _sampled_words(batches: Iterator[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, lang, words): of each text the ``number`` words whose places hash least."""
+    for batch in batches:
+        ids, langs = (batch.column(i).to_pylist() for i in range(2))
+        for low, _, data, bounds in w.text_slices(batch.column(2)):
+            found = w.find_words(data, bounds)
+            short = np.flatnonzero(found.end - found.start <= LONG_WORD)
+            row = found.rows[short]
+            place = w.mix((short - found.first[row]).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+            order = np.lexsort((place, row))
+            nth = np.arange(len(order)) - np.searchsorted(row, row)[order]  # rows ascend in ``order``, too
+            kept = short[np.sort(order[nth < number])]
+            out: dict[int, list[str]] = {}
+            for r, s, e in zip(found.rows[kept].tolist(), found.start[kept].tolist(), found.end[kept].tolist()):
+                out.setdefault(r, []).append(data[s:e].tobytes().decode("utf-8", "replace"))
+            some = sorted(out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[low + r] for r in some], pa.string()), pa.array([langs[low + r] for r in some], pa.string()),
+                 pa.array([" ".join(out[r]) for r in some], pa.string())], names=["doc_id", "lang", "text"],
+            )
+
+
 def learn_languages(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field | None:
     """A field learned from (doc_id, text, lang) rows with a language and a text."""
-    rows = documents.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return None
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, sample_docs / r["n"])))])
+    rows = documents.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"
+    )
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    chosen = rows.where(place < share[F.col("lang")]).select("text", "lang", "doc_id")
-    # Only the first words of sampled rows are learned from; prediction reads whole texts.
-    found = chosen.withColumn("text", F.substring("text", 1, SAMPLE_WORDS * 40)).limit(2 * sample_docs * LANGUAGES).collect()
-    texts = sorted((r["doc_id"], r["text"], r["lang"]) for r in found)
-    labels = sorted({r["lang"] for r in counts}, key=lambda x: x.encode("utf-8"))
-    texts = [(t, lang) for _, t, lang in texts if t.strip()]
+    chosen = rows.join(F.broadcast(counts), "lang").where(place * F.col("n") < sample_docs)  # a row per language
+    chosen = chosen.select("doc_id", "lang", "text").mapInArrow(lambda it: _sampled_words(it, SAMPLE_WORDS), "doc_id string, lang string, text string")
+    found = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()  # about sample_docs a language
+    labels = sorted({r["lang"] for r in counts.collect()}, key=lambda x: x.encode("utf-8"))
+    texts = [(r["text"], r["lang"]) for r in sorted(found)]
     return _train(texts, labels) if texts else None
 
 
 def _predict(batches: Iterator[pa.RecordBatch], field: Field | None) -> Iterator[pa.RecordBatch]:
     """The other columns of each batch, with label and score of its last one."""
+    limit = w.SLICE_BYTES // max(1, len(field.labels) // 8) if field else w.SLICE_BYTES
     for batch in batches:
         text = batch.column(batch.num_columns - 1)
         names, scores = [], []
-        for _, _, data, bounds in w.text_slices(text):
+        for _, _, data, bounds in w.text_slices(text, limit):
             rows = len(bounds) - 1
             found = w.find_words(data, bounds)
             letters = np.zeros(len(data) + 1, np.int64)

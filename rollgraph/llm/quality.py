@@ -4,17 +4,22 @@ Trusted positives and unlabelled web text give the risk of a classifier without
 negative: pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)), where pi is the class prior.
 The non-negative form steps back whenever the estimated negative risk falls below
 zero, which keeps a flexible model from fitting the unlabelled rows as negatives.
-The prior is the share of positives among the rows that have a label in the training
-folds (``PRIOR`` if all of them are positive).
+The prior is estimated from positives and unlabelled rows alone (best bin estimation,
+Garg et al. 2021): a classifier of the two, fitted on each half, ranks the other half; of
+all top shares of the ranking the one is taken where the unlabelled share over the
+positive share, with their standard errors, is least.  No label of a negative is used.
 
 Features are about a text's shape only: lengths, character classes, repetition of
 words and lines, and the frequency of every ASCII character that is no letter.
 
-Training reads at most ``SAMPLE`` positives and ``SAMPLE`` unlabelled rows, chosen by
-a hash of the id; scoring is one pass over all whole texts without a shuffle.
+Training reads about ``SAMPLE`` positives and ``SAMPLE`` unlabelled rows, those whose id
+hashes below a threshold; scoring is one pass over all whole texts without a shuffle.
 
 Cases: null texts are empty texts and get a score, too; repeated rows are scored
-each; a null doc_id is never learned from; without positives every score is the prior.
+each, but learned from once for each id; a null doc_id is never learned from; without
+positives every score is ``PRIOR``; ties are no matter, a row's score is its own; texts of
+any length are read whole; an empty table gives no rows; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -134,12 +139,31 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
     return model
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among ``unlabelled``, from the two samples of features."""
+    if min(len(positive), len(unlabelled)) < 4:
+        return PRIOR
+    mixed = np.random.default_rng(5)  # rows in the order of their ids may alternate
+    positive, unlabelled = mixed.permutation(positive), mixed.permutation(unlabelled)
+    shares = []
+    for fit, rank in ((0, 1), (1, 0)):
+        model = fit_nnpu(positive[fit::2], unlabelled[fit::2], 0.5, 200)
+        p, u = np.sort(model.scores(positive[rank::2])), np.sort(model.scores(unlabelled[rank::2]))
+        cuts = np.unique(p)
+        above_p = 1 - np.searchsorted(p, cuts) / len(p)
+        above_u = 1 - np.searchsorted(u, cuts) / len(u)
+        slack = 0.5 / np.sqrt(len(p)) + 0.5 / np.sqrt(len(u))  # the greatest standard errors of both shares
+        best = int(((above_u + slack) / above_p).argmin())
+        shares.append(above_u[best] / above_p[best])
+    return float(np.clip(np.mean(shares), 0.01, 0.99))
+
+
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [shape_features(data, bounds) for _, _, data, bounds in w.text_slices(batch.column(1))]
+        parts = [shape_features(data, bounds) for _, _, data, bounds in w.text_slices(batch.column(2))]
         if parts:
             rows = [x.tobytes() for part in parts for x in part]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["positive", "features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.binary())], names=["_id", "positive", "features"])
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], model: Classifier | None, prior: float) -> Iterator[pa.RecordBatch]:
@@ -156,26 +180,24 @@ def _score_batches(batches: Iterator[pa.RecordBatch], model: Classifier | None,
 
 def learn_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Classifier | None, float]:
     """(model, prior) from (doc_id, quality) rows; pass only labels to learn from."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), "quality")
-    counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    positives, total = counts.get(1, 0), sum(counts.values())
-    if not positives:
-        return None, PRIOR
-    prior = min(positives / total, 0.99) if total > positives else PRIOR
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 30)) / (1 << 30)
-    # The ids are at most twice ``sample``: a bound that does not grow with the data.
-    trusted = known.where((F.col("quality") == 1) & (place("_id") < sample / positives)).select("_id").distinct().limit(2 * sample)
+    known = labels.where("doc_id IS NOT NULL AND quality = 1").select(F.col("doc_id").cast("long").alias("_id"))
+    positives = known.distinct().count()
     texts = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), "text")
     rows = texts.count()
-    if not rows:
-        return None, prior
-    chosen = texts.join(F.broadcast(trusted), "_id", "left_semi").select(F.lit(True).alias("positive"), "text")
-    web = texts.where(place("_id") < sample / rows).limit(2 * sample).select(F.lit(False).alias("positive"), "text")
-    found = chosen.unionByName(web).mapInArrow(_feature_batches, "positive boolean, features binary").collect()
-    grids = [np.array([np.frombuffer(r["features"], np.float32) for r in sorted(found, key=lambda r: r["features"]) if r["positive"] is k]) for k in (True, False)]
+    if not positives or not rows:
+        return None, PRIOR
+    place = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / (1 << 30)
+    # About ``sample`` ids: a number that does not grow with the data.
+    trusted = known.where(place < sample / positives).distinct()
+    chosen = texts.join(F.broadcast(trusted), "_id", "left_semi").select("_id", F.lit(True).alias("positive"), "text")
+    web = texts.where(place < sample / rows).select("_id", F.lit(False).alias("positive"), "text")
+    found = chosen.unionByName(web).mapInArrow(_feature_batches, "_id long, positive boolean, features binary")
+    found = sorted(found.groupBy("_id", "positive").agg(F.min("features").alias("features")).collect())
+    grids = [np.array([np.frombuffer(r["features"], np.float32) for r in found if r["positive"] is k], float) for k in (True, False)]
     if not len(grids[0]) or not len(grids[1]):
-        return None, prior
-    return fit_nnpu(grids[0].astype(float), grids[1].astype(float), prior), prior
+        return None, PRIOR
+    prior = estimate_prior(*grids)
+    return fit_nnpu(*grids, prior), prior
 
 
 def score_quality(documents: DataFrame, model: Classifier | None, prior: float, held_out=None) -> DataFrame:
