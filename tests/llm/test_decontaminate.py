@@ -3,24 +3,49 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 
-from rollgraph.llm.decontaminate import ItemIndex, _terms, find_leaks, remove_leaks
+from rollgraph.llm import decontaminate
+from rollgraph.llm.decontaminate import ItemIndex, find_leaks, remove_leaks
 
 DOCS = "doc_id long, text string, item_id int, score string"
 
 
-def brute(rows, items):
-    index = ItemIndex(items)
-    out = set()
-    for d, t in rows:
-        g = _terms(t or "", 5)
-        for a in range(0, max(1, len(g)), index.longest):
-            part = g[a : a + 2 * index.longest - 4]
-            for i in range(len(index.ids)):
-                if index.verify(i, part):
-                    out.add((d, index.ids[i]))
+def plain_terms(text, k=5):
+    found = re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text or "")
+    found = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x) for x in found]
+    return found, [tuple(found[i : i + k]) for i in range(len(found) - k + 1)]
+
+
+def plain_parts(text):
+    """Question and answer terms, or those of the whole item."""
+    for pattern in ("\n", r"[.!?](?=\s)"):
+        for cut in reversed([m.end() for m in re.finditer(pattern, text)]):
+            parts = [set(plain_terms(text[:cut])[1]), set(plain_terms(text[cut:])[1])]
+            if all(parts):
+                return parts
+    return [set(plain_terms(text)[1])]
+
+
+def brute(rows, items, share=0.8):
+    """(doc, item, overlaps) by all items in all of their passages, on plain words."""
+    out = {}
+    for i, item in items:
+        found, terms = plain_terms(item)
+        if not terms:
+            continue
+        parts, stride = plain_parts(item), 1
+        while stride < len(found):
+            stride *= 2
+        for d, text in rows:
+            _, grams = plain_terms(text)
+            for a in range(0, max(1, len(grams)), stride):
+                held = set(grams[a : a + 2 * stride - 4])
+                overlaps = [len(p & held) / len(p) for p in parts]
+                if min(overlaps) >= share - 1e-9:
+                    out.setdefault((d, i), set()).add((round(overlaps[0], 6), round(overlaps[-1], 6)))
     return out
 
 
@@ -49,7 +74,8 @@ def test_planted_items(spark):
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
     found = find_leaks(df, bench).collect()
     want = brute(rows, items)
-    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(want) > 15
+    assert {(r["doc_id"], r["item_id"]) for r in found} == set(want) and len(want) > 15
+    assert all((round(r["question_overlap"], 6), round(r["answer_overlap"], 6)) in want[r["doc_id"], r["item_id"]] for r in found)
     kept = remove_leaks(df, bench)
     assert kept.columns == df.columns
     bad = {d for d, _ in want}
@@ -77,3 +103,24 @@ def test_empty_tables(spark):
     assert find_leaks(docs, bench).count() == 0
     one = spark.createDataFrame([(1, "a b c d e f g", 1, "s")], DOCS)
     assert find_leaks(one, bench).count() == 0 and remove_leaks(one, bench).count() == 1
+
+
+def test_results_do_not_depend_on_other_items_or_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, " ".join(words(rng, rng.randrange(20, 90))) + ".\n" + " ".join(words(rng, 9)) + ".") for i in range(30)]
+    items += [(3, " ".join(words(rng, 30)))]  # an item_id that repeats with another text
+    rows = [(i, " ".join(words(rng, 40)) + " " + items[i % 31][1] + " " + " ".join(words(rng, 40))) for i in range(62)]
+    pieces = items[4][1].split()
+    rows.append((900, " ".join(" ".join(pieces[i : i + 6]) + " " + " ".join(words(rng, 400)) for i in range(0, len(pieces), 5))))
+    docs = spark.createDataFrame([(d, t, 1, "s") for d, t in rows], DOCS)
+
+    def leaks(some):
+        found = find_leaks(docs, spark.createDataFrame(some, "item_id long, text string")).collect()
+        return sorted((r["doc_id"], r["item_id"], round(r["score"], 9), r["question_overlap"], r["answer_overlap"]) for r in found)
+
+    whole = leaks(items)
+    assert len(whole) == 62 and {r[0] for r in whole} == set(range(62))  # scattered pieces are no passage
+    long = (999, " ".join(f"u{rng.randrange(10**9)}" for _ in range(20_000)))
+    assert [r[:2] for r in leaks([*items, long])] == [r[:2] for r in whole]
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 2000)
+    assert leaks(items) == whole
