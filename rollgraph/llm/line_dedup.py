@@ -9,13 +9,19 @@ to their counts.  The batch's own run goes to level 0, and ``FANOUT`` runs of a
 are compacted into one of the next.  Batches come from the largest doc_id down, so
 the first batch with a key has its last document.
 
-Keys are reduced to one row per document before any shuffle and counted with map-side
-combine, so a line in a third of all documents is one row per task.  Texts are shuffled
-once, by document, for the result.
+Keys are counted with map-side combine, so a line in a third of all documents is one
+row per task.  Texts are shuffled once, by document, for the result; lost lines are
+marked by their positions, a byte each, so a text of many lines costs no search.
+
+Runs are tables of the session's warehouse, which all executors must share; they are
+dropped at the end, also after a failure.
 
 Cases: a null or empty text is one empty line; a null doc_id counts as one document
-below all others; repeated rows of a doc_id are one document; an empty table gives
-no rows.  Columns other than doc_id and text are carried along by ``drop_repeated_lines``.
+below all others; repeated rows of a doc_id are one document, also with other texts; a
+line that repeats in its document stays or goes with all of its copies; texts of any
+length are split whole; an empty table gives no rows.  Columns other than doc_id and text
+are carried along by ``drop_repeated_lines``, whatever their names, but for ``n_lines``,
+``n_dropped`` and ``kept``, which are replaced.
 """
 
 from __future__ import annotations
@@ -50,12 +56,17 @@ def _lines():
     return F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
 
 
+def _row(documents: DataFrame) -> list:
+    """What a line's row is known by: document and text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc"), F.xxhash64("text").alias("body")]
+
+
 def line_keys(documents: DataFrame, least: int = LEAST_LENGTH) -> DataFrame:
-    """(h1, h2, doc): the distinct keys of at least ``least`` code points of each row."""
-    long_enough = F.filter(_lines(), lambda x: F.char_length(line_key(x)) >= least)
-    keys = F.array_distinct(F.transform(long_enough, _hashes))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
-    return documents.select(doc.alias("doc"), F.explode(keys).alias("key")).select("key.h1", "key.h2", "doc")
+    """(h1, h2, doc, body, pos): the keys of at least ``least`` code points."""
+    key = lambda x: F.when(F.char_length(line_key(x)) >= least, _hashes(x))
+    keys = F.filter(F.transform(_lines(), lambda x, i: F.struct(i.alias("pos"), key(x).alias("key"))), lambda x: x["key"].isNotNull())
+    lines = documents.select(*_row(documents), F.explode(keys).alias("line"))
+    return lines.select("line.key.h1", "line.key.h2", "doc", "body", "line.pos")
 
 
 class LineRuns:
@@ -76,7 +87,7 @@ class LineRuns:
 
     def add(self, keys: DataFrame) -> None:
         """Merge a batch of (h1, h2, doc); its documents lie below all added before."""
-        own = keys.distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("holder"))
+        own = keys.select("h1", "h2", "doc").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("holder"))
         fresh = own
         for names in self.levels:
             for name in names:
@@ -115,22 +126,23 @@ class LineRuns:
     def drop(self) -> None:
         for level in self.levels:
             for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.levels = []
 
 
 def repeated_keys(keys: DataFrame, least: int = LEAST_DOCUMENTS, batches: int = BATCHES) -> DataFrame:
     """(h1, h2, holder) of keys in at least ``least`` documents."""
-    runs = LineRuns(keys.sparkSession)
     low, high = keys.where(F.col("doc") > LOWEST).agg(F.min("doc"), F.max("doc")).first()
     low, high = (0, 0) if low is None else (low, high)
     width = (high - low) // batches + 1
-    for k in reversed(range(batches)):
-        batch = keys.where(F.col("doc") >= low + k * width) if k else keys
-        runs.add(batch if k == batches - 1 else batch.where(F.col("doc") < low + (k + 1) * width))
-    found = materialise(runs.merged().where(F.col("n") >= least).select("h1", "h2", "holder"), "line-repeated")
-    runs.drop()
-    return found
+    runs = LineRuns(keys.sparkSession)
+    try:
+        for k in reversed(range(batches)):
+            batch = keys.where(F.col("doc") >= low + k * width) if k else keys
+            runs.add(batch if k == batches - 1 else batch.where(F.col("doc") < low + (k + 1) * width))
+        return materialise(runs.merged().where(F.col("n") >= least).select("h1", "h2", "holder"), "line-repeated")
+    finally:
+        runs.drop()
 
 
 def drop_repeated_lines(documents: DataFrame, length: int = LEAST_LENGTH, least: int = LEAST_DOCUMENTS, batches: int = BATCHES) -> DataFrame:
@@ -139,15 +151,22 @@ def drop_repeated_lines(documents: DataFrame, length: int = LEAST_LENGTH, least:
     doc_id holding them.  ``kept`` holds the other lines."""
     keys = materialise(line_keys(documents, length), "line-keys")
     repeated = repeated_keys(keys, least, batches)
-    gone = keys.join(repeated, ["h1", "h2"]).where("doc < holder").distinct()
-    gone = gone.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("_gone"))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
-    names = [c for c in documents.columns if c not in ("n_lines", "n_dropped", "kept")]
-    joined = documents.select(*names).withColumn("_doc", doc).join(gone.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    lines = _lines()
-    stay = F.filter(lines, lambda x: (F.char_length(line_key(x)) < length) | ~F.array_contains(F.col("_gone"), _hashes(x)))
-    kept = F.when(F.col("_gone").isNull(), lines).otherwise(stay)
-    shaped = joined.select(*names, F.size(lines).cast("long").alias("n_lines"), kept.alias("_kept"))
-    return shaped.select(
-        *names, "n_lines", (F.col("n_lines") - F.size("_kept")).alias("n_dropped"), F.array_join("_kept", "\n").alias("kept")
-    )
+    gone = keys.join(repeated, ["h1", "h2"]).where("doc < holder").groupBy("doc", "body")
+    gone = gone.agg(F.sort_array(F.collect_set("pos")).alias("_gone"))  # lines of one text
+    # A byte for each line up to the last lost one: 1 if it goes.
+    gap = lambda p, i: p - F.when(i > 0, F.get(F.col("_gone"), i - 1)).otherwise(F.lit(-1)) - 1
+    marks = F.array_join(F.transform("_gone", lambda p, i: F.concat(F.repeat(F.lit("0"), gap(p, i)), F.lit("1"))), "")
+    gone = gone.select(F.col("doc").alias("_l_doc"), F.col("body").alias("_l_body"), marks.cast("binary").alias("_l_marks"))
+
+    held = {c: f"_d_{c}" for c in documents.columns if c not in ("n_lines", "n_dropped", "kept")}
+    doc, body = _row(documents)
+    rows = documents.select(*[F.col(c).alias(n) for c, n in held.items()], doc.alias("_l_doc"), body.alias("_l_body"))
+    joined = rows.join(gone, ["_l_doc", "_l_body"], "left")
+    lines = F.split(F.coalesce(F.col(held["text"]), F.lit("")), "\n", -1)
+    mark = lambda i: F.substring(F.col("_l_marks"), i + 1, F.lit(1))
+    stay = F.filter(lines, lambda x, i: mark(i) != F.lit("1").cast("binary"))
+    kept = F.when(F.col("_l_marks").isNull(), lines).otherwise(stay)
+    return joined.select("*", kept.alias("_l_kept")).select(
+        *[F.col(n).alias(c) for c, n in held.items()], F.size(lines).cast("long").alias("n_lines"),
+        (F.size(lines) - F.size("_l_kept")).cast("long").alias("n_dropped"), F.array_join("_l_kept", "\n").alias("kept"),
+    )

@@ -42,6 +42,7 @@ def test_cases(spark):
         (1, f"{long}\nx\n{long}"), (2, f"\t{long.upper().replace('É', 'é')} \r\n"), (2, f"\t{long.upper().replace('É', 'é')} \r\n"),
         (3, f"y\n {long}"), (9, f"{long}\n{long}"), (4, None), (5, ""), (6, "\n\n"), (None, f"{long}\nz"),
         (7, "only in two documents, here"), (8, "only in two documents, here"), (10, "short\n" * 5), (11, "short"), (12, "short"),
+        (2, f"another text of one id\n{long}\nend"), (3, f"{long}\n" * 400 + "last\n" * 400 + long),
         (13, "w" * 2_000_000 + "\n" + long), (14, "\x0b nineteen code point"), (15, "nineteen code point"), (16, "nineteen code point"),
     ]
     assert run(spark, rows) == expected(rows)
@@ -67,3 +68,13 @@ def test_runs_are_compacted(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_runs_are_dropped_after_a_failure(spark, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(LineRuns, "merged", lambda self, names=None: 1 / 0)
+    try:
+        run(spark, [(1, "a line of more than twenty letters")])
+    except ZeroDivisionError:
+        pass
+    assert {t.name for t in spark.catalog.listTables()} == before
