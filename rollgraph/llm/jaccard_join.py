@@ -13,11 +13,11 @@ copies costs one row each.  The join reads the texts once:
    row.  The subtrees that hold a shingle of these prefixes are grouped by it.
 3. Each set meets two centres: of its rarest group and of its most common one, each
    group's centre of a size band being the set with the fewest shingles of its own, which
-   is what near copies are copies of.  Met pairs are verified in tries (below), links
+   is what near copies are copies of.  Met pairs are counted in tries (below), links
    make components.
 4. Pairs of *different* components that share any prefix shingle are listed
-   completely, counted, pruned by the shared shingles that remain on both sides, and
-   verified.  What is not listed is in one component already or cannot reach the
+   completely, counted, pruned by the shared shingles that remain on both sides and by
+   both sets' overlaps with their common centre, and verified.  What is not listed is in one component already or cannot reach the
    threshold, so the components are those of all links.
 
 Verification walks one trie for each centre: the sets that meet it arrive in
@@ -351,6 +351,15 @@ def _possible(percent: int):
     )
 
 
+def _past_pivot(percent: int):
+    """Whether two sets of one pivot can reach the threshold: they share at most the
+    lesser overlap with it, and the lesser number of shared shingles besides."""
+    inside = F.least("overlap", "xoverlap")
+    beside = F.least(F.col("ca") - F.col("xoverlap"), F.col("cb") - F.col("overlap"))
+    enough = (inside + beside) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
+    return (F.col("pivot") != F.col("xpivot")) | enough
+
+
 def _sides(a: str, b: str) -> dict:
     """Columns n, c and i of two sides under the names of a pair."""
     return {f"{x}{side}": F.col(f"{prefix}{x}") for side, prefix in (("a", a), ("b", b)) for x in "nci"}
@@ -369,13 +378,13 @@ def _shared_path(x: np.ndarray, y: np.ndarray) -> int:
     return n
 
 
-def _walk_tries(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _walk_tries(batches: Iterator[pa.RecordBatch], percent: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """Rows (a, salt, b, n, toks) sorted by (a, salt, b is null first, toks): a centre,
-    then the sets it meets in trie order.  Links come out."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    then the sets it meets in trie order.  Links come out, or all pairs if ``whole``."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("overlap", pa.int64()), ("linked", pa.bool_())])
     centre = tree = None
     for batch in batches:
-        out_a, out_b = [], []
+        out = []
         for a, salt, b, n, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
             toks = np.frombuffer(raw, ">u8").astype(np.uint64)
             if b is None:
@@ -384,11 +393,12 @@ def _walk_tries(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             if centre is None or centre[:2] != (a, salt):
                 raise ValueError(f"set {a} has no tokens")
             need = -(-percent * (centre[2] + n) // (100 + percent))
-            tree = _Path(centre[3], toks, need, tree)
-            if tree.linked:
-                out_a.append(a)
-                out_b.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], schema=schema)
+            tree = _Path(centre[3], toks, 0 if whole else need, tree)
+            found = int(tree.overlap[-1])  # counts to the end, unless the bound cut the path
+            linked = tree.known == len(toks) and found >= need
+            if whole or linked:
+                out.append((a, b, found, linked))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*out)) or [()] * 4, schema)], schema=schema)
 
 
 class _Path:
@@ -403,7 +413,7 @@ class _Path:
 
     def __init__(self, centre: np.ndarray, toks: np.ndarray, need: int, before: _Path | None):
         na, nb = len(centre), len(toks)
-        self.toks, self.linked = toks, False
+        self.toks = toks
         depth = 0
         overlap = np.zeros(nb + 1, np.int64)
         if before is not None:
@@ -420,11 +430,11 @@ class _Path:
             overlap[depth + 1 : stop + 1] = overlap[depth] + np.cumsum(centre[at] == part)
             depth = stop
         self.overlap, self.known = overlap, depth
-        self.linked = depth == nb and int(overlap[nb]) >= need
 
 
-def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs of set ids that reach the threshold."""
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """(a, b, overlap, linked) of the pairs of set ids that reach the threshold, or of
+    all pairs if ``whole``."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A centre with many partners gets several tries.
     degrees = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TRIE_SETS).alias("tries"))
@@ -436,7 +446,7 @@ def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     met = met.select("a", F.pmod(F.xxhash64("b"), F.col("tries")).alias("salt"), "b", "n", "toks")
     tries = centres.unionByName(met).repartition(parts, "a", "salt")
     tries = tries.sortWithinPartitions("a", "salt", F.col("b").isNotNull(), "toks")
-    return tries.mapInArrow(lambda it: _walk_tries(it, percent), "a long, b long")
+    return tries.mapInArrow(lambda it: _walk_tries(it, percent, whole), "a long, b long, overlap long, linked boolean")
 
 
 def shared_sets(documents: DataFrame, k: int, percent: int, most: tuple[int, int] = (BLOCK, _MANY)) -> tuple[DataFrame, DataFrame]:
@@ -463,23 +473,28 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     postings = sets.mapInArrow(lambda it: _postings(it, percent), POSTING_SCHEMA)
     met = postings.repartition(parts, "tok").sortWithinPartitions("tok", "band", "own", "sid")
     met = materialise(met.mapInArrow(_meet, MET_SCHEMA), "jaccard-met")
-    # Two centres for each set: of its rarest shingle that others have, and of its most common.
-    able = met.where("sid <> first").withColumns(_sides("", "f")).where(_possible(percent))
+    # Two centres for each set: of its rarest shingle that others have, if they can link, and
+    # of its most common one, the pivot, whose overlap with the set bounds other overlaps.
     level = F.shiftright("tok", _HASH_BITS)
-    centres = able.groupBy("sid").agg(F.min_by("first", "tok").alias("x"), F.max_by("first", F.struct(level, -F.col("tok"))).alias("y"))
-    near = centres.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), F.col("sid").alias("b"))
-    links = _verified(sets, materialise(near, "jaccard-near"), percent)
-    groups = materialise(cluster_pairs(links, "a", "b"), "jaccard-groups")
+    able = met.where("sid <> first").withColumns(_sides("", "f")).where(_possible(percent))
+    rarest = able.groupBy("sid").agg(F.min_by("first", "tok").alias("x"))
+    common = met.groupBy("sid").agg(F.max_by("first", F.struct(level, -F.col("tok"))).alias("pivot"), F.max("c").alias("c"))
+    common = materialise(common.join(rarest, "sid", "left"), "jaccard-centres")
+    near = common.select(F.explode(F.array_distinct(F.array("x", "pivot"))).alias("a"), F.col("sid").alias("b")).where("a <> b")
+    near = materialise(_verified(sets, materialise(near, "jaccard-near"), percent, True), "jaccard-stars")
+    groups = materialise(cluster_pairs(near.where("linked"), "a", "b"), "jaccard-groups")
+    pivots = common.join(near.select(F.col("b").alias("sid"), F.col("a").alias("pivot"), "overlap"), ["sid", "pivot"], "left")
+    pivots = pivots.select("sid", "pivot", F.coalesce("overlap", "c").alias("overlap"))  # a pivot is its own
 
     # Pairs of different components that share a prefix shingle, all of them.
-    rows = met.select("tok", "sid", "n", "c", "i").join(groups.withColumnRenamed("id", "sid"), "sid", "left")
+    rows = met.select("tok", "sid", "n", "c", "i").join(pivots, "sid").join(groups.withColumnRenamed("id", "sid"), "sid", "left")
     rows = rows.withColumn("cluster", F.coalesce("cluster", "sid"))
     sizes = rows.groupBy("tok", "cluster").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("tok").agg(F.count(F.lit(1)).alias("k"), F.max_by("cluster", F.struct("m", "cluster")).alias("major"))
     rows = materialise(rows.join(mixed.where("k > 1").select("tok", "major"), "tok"), "jaccard-mixed")
-    minor = rows.where("cluster <> major").select("tok", *[F.col(c).alias(f"x{c}") for c in ("sid", "n", "c", "i", "cluster")])
+    minor = rows.where("cluster <> major").select("tok", *[F.col(c).alias(f"x{c}") for c in ("sid", "n", "c", "i", "cluster", "pivot", "overlap")])
     across = minor.join(rows, "tok").where("xcluster <> cluster AND (cluster = major OR xsid < sid)")
-    across = across.withColumns(_sides("x", "")).where(_possible(percent))
+    across = across.withColumns(_sides("x", "")).where(_possible(percent) & _past_pivot(percent))
     # Shared prefix shingles of a pair, and the most that can be behind both prefixes.
     wide = across.groupBy(F.least("xsid", "sid").alias("a"), F.greatest("xsid", "sid").alias("b")).agg(
         F.count(F.lit(1)).alias("common"), F.max("na").alias("na"), F.max("nb").alias("nb")
