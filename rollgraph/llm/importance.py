@@ -33,12 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.llm import words as w
-from rollgraph.llm.store import materialise
+from rollgraph.llm.store import materialise, ranked
 
 BUCKETS = 10_000
 LONG = 512  # bytes from which a run is hashed alone: its matrix would have a row or two
 _SLICE = 1 << 20
-_PLACE = (1 << 33) - 1  # monotonically_increasing_id: partition above, place below
 
 _TABLE = np.arange(256, dtype=np.uint32)
 for _ in range(8):
@@ -167,21 +166,6 @@ def gumbel(seed: int):
     return F.floor(-1000.0 * F.log(-F.log(uniform))).cast("long")
 
 
-def ranked(rows: DataFrame, order: list, rank: str) -> DataFrame:
-    """``rows`` with their place from 1 in ``order``: no task or window holds them all."""
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    placed = materialise(placed.withColumn("_place", F.monotonically_increasing_id()), "ranked")
-    part = F.shiftright("_place", 33)
-    sizes = {r[0]: r[1] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    before = dict(zip(sorted(sizes), np.cumsum([0, *(sizes[p] for p in sorted(sizes))]).tolist()))
-    offsets = spark.createDataFrame(list(before.items()) or [(0, 0)], "_part long, _before long")
-    placed = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # a row per partition
-    place = F.col("_before") + F.col("_place").bitwiseAND(F.lit(_PLACE)) + 1
-    return placed.select(*rows.columns, place.alias(rank))
-
-
 def resample(
     documents: DataFrame, target: DataFrame, percent: int = 10, n: int = 1,
     buckets: int = BUCKETS, least_words: int = 20, seed: int = 2024,

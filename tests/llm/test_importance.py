@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from rollgraph.llm import importance
+from rollgraph.llm.store import ranked
 
 SCHEMA = "doc_id long, text string, score string, rank string, n_words int"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -88,6 +89,6 @@ def test_rows_of_one_hash_stay_apart(monkeypatch):
 def test_ranks_over_many_partitions(frame, spark):
     rows = frame([(i, i % 7) for i in range(5000)], "doc_id long, score long")
     order = [importance.F.desc("score"), importance.F.asc("doc_id")]
-    got = {r.doc_id: r.rank for r in importance.ranked(rows, order, "rank").collect()}
+    got = {r.doc_id: r.rank for r in ranked(rows, order, "rank").collect()}
     want = sorted(range(5000), key=lambda i: (-(i % 7), i))
     assert got == {i: k + 1 for k, i in enumerate(want)}
