@@ -45,8 +45,8 @@ SHARE = 0.8
 K1, B = 1.2, 0.75
 BLOCK = 32
 INDEX_BYTES = 64 << 20
-HIT_SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-_FIELDS = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]
+HIT_SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, body long"
+_FIELDS = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("body", pa.int64())]
 
 
 def _terms(text: str, k: int) -> np.ndarray:
@@ -225,21 +225,22 @@ def _best_passages(index: ItemIndex, found: w.Words, g: np.ndarray) -> dict[tupl
 
 def _search(batches: Iterator[pa.RecordBatch], indexes: list[ItemIndex], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs = batch.column(0).to_pylist()
+        docs, bodies = (batch.column(i).to_pylist() for i in (0, 2))
         out = []
         for low, _, data, bounds in w.text_slices(batch.column(1)):
             found = w.find_words(data, bounds, w.NOT_ALNUM)
             g = w.grams(w.word_hashes(found), k)
             if len(g):
                 for index in indexes:
-                    out += [(docs[low + r], index.ids[d], *v) for (r, d), v in _best_passages(index, found, g).items()]
-        columns = list(zip(*out)) if out else [()] * 5
+                    out += [(docs[low + r], index.ids[d], *v, bodies[low + r]) for (r, d), v in _best_passages(index, found, g).items()]
+        columns = list(zip(*out)) if out else [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS)], schema=pa.schema(_FIELDS))
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, k: int = TERM, share: float = SHARE) -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap), one row per
-    document and test item that it leaks, with the best passage's figures."""
+    """(doc_id, item_id, score, question_overlap, answer_overlap, body), one row per
+    document and test item that it leaks, with the best passage's figures; ``body``
+    hashes the text."""
     items = benchmark.select(F.col("item_id").cast("long"), "text")
     spark = documents.sparkSession
 
@@ -256,7 +257,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, k: int = TERM, share:
     counts = materialise(known.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "item-terms")
     size, count, mean = known.agg(F.sum(F.octet_length("text")), F.count(F.lit(1)), F.avg("n")).first()
     blocks = int((size or 0) // INDEX_BYTES) + 1
-    docs = documents.select(F.col("doc_id").cast("long"), "text")
+    docs = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("body"))
     hits = []
     for block in range(blocks):
         part = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
@@ -277,5 +278,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, k: int = TERM, share:
 
 def remove_leaks(documents: DataFrame, benchmark: DataFrame, k: int = TERM, share: float = SHARE) -> DataFrame:
     """``documents`` without those that leak a test item."""
-    leaks = find_leaks(documents, benchmark, k, share).select(F.col("doc_id").alias("_leak")).distinct()
-    return documents.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+    leaks = find_leaks(documents, benchmark, k, share).select("doc_id", "body").distinct()
+    held = documents.select(*[F.col(c).alias(f"_d_{c}") for c in documents.columns])
+    same = F.col("_d_doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64("_d_text") == F.col("body"))
+    return held.join(leaks, same, "left_anti").select(*[F.col(f"_d_{c}").alias(c) for c in documents.columns])

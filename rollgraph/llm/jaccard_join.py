@@ -182,7 +182,7 @@ def _send(batches: Iterator[pa.RecordBatch], k: int, bits: int, most: tuple[int,
             sids = set_ids(sets)
             n = high - low
             yield _rows(
-                kind=[_DOCUMENT] * n, span=-1 - np.arange(low, high, dtype=np.int32) % _SPREAD, sid=sids,
+                kind=[_DOCUMENT] * n, span=-1 - np.arange(low, high, dtype=np.int32) % _SPREAD, sid=sids, block=batch.column(2)[low:high],
                 doc_id=batch.column(0)[low:high].cast(pa.int64()), n=[len(s) for s in sets],
             )
             for i in np.flatnonzero([len(s) for s in sets]):
@@ -450,24 +450,26 @@ def _verified(sets: DataFrame, pairs: DataFrame, percent: int, whole: bool = Fal
 
 
 def shared_sets(documents: DataFrame, k: int, percent: int, most: tuple[int, int] = (BLOCK, _MANY)) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, sid) of every row, and (sid, n, toks) of the sets that can have a
+    """(doc_id, n, sid, body) of every row, and (sid, n, toks) of the sets that can have a
     partner: their size and their shared shingles in the global order.  A block has
     at most about ``most`` shingles and sets."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = span_bits(documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    sent = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _send(it, k, bits, most), ROW_SCHEMA)
+    sent = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("body"))
+    sent = sent.mapInArrow(lambda it: _send(it, k, bits, most), ROW_SCHEMA)
     shared = sent.repartition(parts, "span").sortWithinPartitions("span")
     rows = materialise(shared.mapInArrow(lambda it: _share(it, bits), ROW_SCHEMA), "jaccard-shared")
     blocks = rows.where(F.col("kind") != _DOCUMENT).select("block", "kind", "toks", "idx", "more")
     sets = blocks.repartition(parts, "block").sortWithinPartitions("block")
     sets = sets.mapInArrow(lambda it: _gather(it, percent), "sid long, n long, toks binary")
     sets = sets.dropDuplicates(["sid", "n"])  # copies in several blocks
-    return rows.where(F.col("kind") == _DOCUMENT).select("doc_id", "n", "sid"), materialise(sets, "jaccard-sets")
+    return rows.where(F.col("kind") == _DOCUMENT).select("doc_id", "n", "sid", F.col("block").alias("body")), materialise(sets, "jaccard-sets")
 
 
 def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; documents link when 100 *
-    intersection >= ``percent`` * union of their sets of ``k``-word shingles."""
+    """(doc_id, n_shingles, component_id, body, label) of every row; documents link when
+    100 * intersection >= ``percent`` * union of their sets of ``k``-word shingles.  ``body``
+    hashes the text; ``label`` names the component, also where doc_ids repeat."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiles, sets = shared_sets(documents, k, percent)
     postings = sets.mapInArrow(lambda it: _postings(it, percent), POSTING_SCHEMA)
@@ -519,4 +521,22 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     least = materialise(named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "jaccard-least")
     joined = named.join(least, "label", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "body", "label")
+
+
+def keep_one_of_each(documents: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``documents`` with one row of each component: the one of the smallest doc_id (nulls
+    last), of equal doc_ids the one whose text hashes least.  Rows without words stay."""
+    linked = materialise(link_components(documents, k, percent).where("n_shingles > 0"), "jaccard-linked")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")
+    first = materialise(linked.groupBy("label").agg(F.min(own).alias("first")), "jaccard-first")
+    lost = linked.join(first, "label").where(~own.eqNullSafe(F.col("first"))).select("doc_id", "body").distinct()
+    again = linked.groupBy("doc_id", "body").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+    held = documents.select(*[F.col(c).alias(f"_j_{c}") for c in documents.columns], F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_body"))
+    same = lambda keys: F.col("_id").eqNullSafe(keys["doc_id"]) & (F.col("_body") == keys["body"])
+    kept = held.join(lost, same(lost), "left_anti")
+    # Equal rows are copies, too.
+    twice = kept.join(again, same(again), "left_semi").dropDuplicates(["_id", "_body"])
+    rows = kept.join(again, same(again), "left_anti").unionByName(twice)
+    return rows.select(*[F.col(f"_j_{c}").alias(c) for c in documents.columns])

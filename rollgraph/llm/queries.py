@@ -53,7 +53,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingles agree to 0.8 or more."""
-    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+    linked = jaccard_join.link_components(table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id")
 
 
 LINE_SQL = r"""
@@ -89,7 +90,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that leaks a benchmark item, with the item and the overlaps."""
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("body")
 
 
 @query()

@@ -80,6 +80,8 @@ def test_planted_items(spark):
     assert kept.columns == df.columns
     bad = {d for d, _ in want}
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((d for d, _ in rows if d not in bad), key=str)
+    other = spark.createDataFrame([(rows[-1][0], "another text of one id", 1, "s")], DOCS)
+    assert [r["text"] for r in remove_leaks(df.unionByName(other), bench).where(f"doc_id = {rows[-1][0]}").collect()] == ["another text of one id"]
 
 
 def test_wand_finds_all_above_threshold():
