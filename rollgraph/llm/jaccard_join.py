@@ -16,8 +16,8 @@ copies costs one row each.  The join reads the texts once:
    is what near copies are copies of.  Met pairs are counted in tries (below), links
    make components.
 4. Pairs of *different* components that share any prefix shingle are listed
-   completely, counted, pruned by the shared shingles that remain on both sides and by
-   both sets' overlaps with their common centre, and verified.  What is not listed is in one component already or cannot reach the
+   completely, pruned by the shared shingles that remain on both sides and by both
+   sets' overlaps with their common centre, and verified.  What is not listed is in one component already or cannot reach the
    threshold, so the components are those of all links.
 
 Verification walks one trie for each centre: the sets that meet it arrive in
@@ -340,15 +340,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _possible(percent: int):
-    """Sizes, and places of the shared shingle, that allow the threshold."""
+    """Sizes that allow the threshold, and a place of the shared shingle that allows it to
+    be the first one: what two sets share lies from their first shared shingle on."""
     na, nb = F.col("na"), F.col("nb")
-    before = F.least("ia", "ib")
-    after = F.least(F.col("ca") - F.col("ia"), F.col("cb") - F.col("ib"))
-    return (
-        (na * 100 >= nb * percent)
-        & (nb * 100 >= na * percent)
-        & ((before + after) * (100 + percent) >= percent * (na + nb))
-    )
+    behind = F.least(F.col("ca") - F.col("ia"), F.col("cb") - F.col("ib"))
+    return (na * 100 >= nb * percent) & (nb * 100 >= na * percent) & (behind * (100 + percent) >= percent * (na + nb))
 
 
 def _past_pivot(percent: int):
@@ -497,13 +493,8 @@ def link_components(documents: DataFrame, k: int = WORDS, percent: int = PERCENT
     minor = rows.where("cluster <> major").select("tok", *[F.col(c).alias(f"x{c}") for c in ("sid", "n", "c", "i", "cluster", "pivot", "overlap")])
     across = minor.join(rows, "tok").where("xcluster <> cluster AND (cluster = major OR xsid < sid)")
     across = across.withColumns(_sides("x", "")).where(_possible(percent) & _past_pivot(percent))
-    # Shared prefix shingles of a pair, and the most that can be behind both prefixes.
-    wide = across.groupBy(F.least("xsid", "sid").alias("a"), F.greatest("xsid", "sid").alias("b")).agg(
-        F.count(F.lit(1)).alias("common"), F.max("na").alias("na"), F.max("nb").alias("nb")
-    )
-    length = lambda n: F.floor((F.col(n) * percent + 99) / 100) - 1
-    wide = wide.where((F.col("common") + F.greatest(length("na"), length("nb"))) * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
-    more = materialise(_verified(sets, materialise(wide.select("a", "b"), "jaccard-across"), percent), "jaccard-more")
+    wide = across.select(F.least("xsid", "sid").alias("a"), F.greatest("xsid", "sid").alias("b")).distinct()
+    more = materialise(_verified(sets, materialise(wide, "jaccard-across"), percent), "jaccard-more")
     name = lambda side: groups.select(F.col("id").alias(side), F.col("cluster").alias(f"c{side}"))
     joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
