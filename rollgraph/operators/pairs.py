@@ -12,6 +12,8 @@ from rollgraph.functions.similarity import jaro_winkler
 from rollgraph.operators.agreement import LinkSettings, level
 from rollgraph.operators.skew import pairs_within
 
+ROWS_PER_CELL = 2_000  # records on each side of a cell: at most four million pairs a task
+
 
 def _text(column: str) -> Column:
     return F.col(column).cast("string")
@@ -66,7 +68,7 @@ def list_pairs(scored: DataFrame, records: DataFrame, settings: LinkSettings) ->
         .where(F.col("_key").isNotNull())
         .join(wanted, "_key", "left_semi")
     )
-    met = pairs_within(keyed, ["_key"], settings.id_column, payload)
+    met = pairs_within(keyed, ["_key"], settings.id_column, payload, ROWS_PER_CELL)
     ordered = F.col(f"{settings.id_column}_l") < F.col(f"{settings.id_column}_r")
     met = met.select(
         "_key",

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollgraph.functions.columns import stable_id
 from rollgraph.operators.agreement import Comparison, LinkSettings
+from rollgraph.operators.pairs import list_pairs
 from rollgraph.operators.scoring import Weights, scored_comparisons
+from rollgraph.session import cut_lineage
 
 NAMES = LinkSettings(
     comparisons=(Comparison("name", term_frequency=True),),
@@ -24,8 +27,8 @@ ADDRESSES = LinkSettings(
 
 
 def with_unique_id(records: DataFrame, *keys: str) -> DataFrame:
-    """A record id from the key columns, the same in every run; nulls allowed."""
-    return records.withColumn("unique_id", F.xxhash64(*keys))
+    """A 128-bit record id from the key columns, the same in every run; nulls allowed."""
+    return records.withColumn("unique_id", stable_id("Record", *[F.col(k) for k in keys]))
 
 
 def dedupe_names(master: DataFrame, weights: Weights | None = None) -> DataFrame:
@@ -36,3 +39,24 @@ def dedupe_names(master: DataFrame, weights: Weights | None = None) -> DataFrame
 def dedupe_addresses(addresses: DataFrame, weights: Weights | None = None) -> DataFrame:
     """Candidate duplicates among addresses."""
     return scored_comparisons(addresses, ADDRESSES, weights)
+
+
+def record_pairs(
+    records: DataFrame, settings: LinkSettings, weights: Weights | None = None, least: float = 0.5
+) -> DataFrame:
+    """All record pairs of the scored groups with a match probability of ``least`` or
+    more, one row each.  The groups say beforehand how many: the sum of ``n_pairs``."""
+    scored = cut_lineage(scored_comparisons(records, settings, weights))
+    return list_pairs(scored.where(F.col("match_probability") >= least), records, settings)
+
+
+def name_pairs(master: DataFrame, weights: Weights | None = None, least: float = 0.5) -> DataFrame:
+    """Pairs of filings whose names are likely one business."""
+    return record_pairs(with_unique_id(master, "filing_num", "name"), NAMES, weights, least)
+
+
+def address_pairs(
+    addresses: DataFrame, weights: Weights | None = None, least: float = 0.5, keys: tuple[str, ...] = ("filing_num", "address1", "city", "zip_code")
+) -> DataFrame:
+    """Pairs of address rows that are likely one place; ``keys`` tell rows apart."""
+    return record_pairs(with_unique_id(addresses, *keys), ADDRESSES, weights, least)

@@ -275,6 +275,73 @@ def dedupe_addresses(spark, sf) -> DataFrame:
     return _integers(dedupe.dedupe_addresses(view(spark, sf, "fx_address"), GIVEN_ADDRESSES))
 
 
+def _sixth(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("match_probability", "tf_match_probability")})
+
+
+def _sides_sql(*columns: str) -> str:
+    return ", ".join(f"{side}.{c} AS {c}_{side}" for c in columns for side in "lr")
+
+
+def _pair_tf(view_name: str, column: str) -> str:
+    return (
+        f"LEFT JOIN (SELECT {column} AS v, count(*) / (SELECT count({column}) FROM {view_name})::DOUBLE AS tf "
+        f"FROM {view_name} GROUP BY {column}) tf_{column} ON tf_{column}.v = g.{column}_l"
+    )
+
+
+@query(
+    f", pairs AS (SELECT {_sides_sql('unique_id', 'filing_num', 'brand', 'city', 'name', 'size')}, "
+    "CASE WHEN l.name = r.name THEN 2 WHEN jaro_winkler_similarity(l.name, r.name) >= 0.9 THEN 1 ELSE 0 END AS gamma_name, "
+    "CASE WHEN l.size = r.size THEN 1 ELSE 0 END AS gamma_size FROM fx_link l JOIN fx_link r "
+    "ON l.brand = r.brand AND l.city = r.city AND l.unique_id < r.unique_id), "
+    f"scored AS (SELECT g.*, {_probability(_odds(GIVEN))} AS match_probability, "
+    f"{_probability(_odds(GIVEN, tf=True))} AS tf_match_probability FROM pairs g "
+    + _pair_tf("fx_link", "name") + " " + _pair_tf("fx_link", "size")
+    + ") SELECT * FROM scored WHERE match_probability >= 0.1",
+    "fx_link",
+)
+def listed_pairs(spark, sf) -> DataFrame:
+    """Record pairs of every group of parts scored 0.1 or more."""
+    return _sixth(dedupe.record_pairs(view(spark, sf, "fx_link"), PARTS, GIVEN, 0.1))
+
+
+_RECORD = "md5(concat_ws('|', 'Record', '=' || CAST(row_no AS VARCHAR), '=' || address1))"
+
+
+@query(
+    f", records AS (SELECT *, {_RECORD} AS unique_id FROM fx_address), pairs AS ("
+    f"SELECT {_sides_sql('unique_id', 'filing_num', 'address1', 'city', 'zip_code')}, "
+    + ", ".join(f"CASE WHEN l.{c} = r.{c} THEN 1 ELSE 0 END AS gamma_{c}" for c in ("address1", "city", "zip_code"))
+    + " FROM records l JOIN records r ON l.unique_id < r.unique_id "
+    "AND (l.address1 = r.address1 OR l.city = r.city OR l.zip_code = r.zip_code)), "
+    f"scored AS (SELECT g.*, {_probability(_odds(GIVEN_ADDRESSES))} AS match_probability, "
+    f"{_probability(_odds(GIVEN_ADDRESSES, tf=True))} AS tf_match_probability FROM pairs g "
+    + " ".join(_pair_tf("fx_address", c) for c in ("address1", "city", "zip_code"))
+    + ") SELECT * FROM scored WHERE match_probability >= 0.9",
+    "fx_address",
+)
+def dedupe_addresses_pairs(spark, sf) -> DataFrame:
+    """Pairs of address rows that are one place with a probability of 0.9 or more."""
+    addresses = view(spark, sf, "fx_address")
+    return _sixth(dedupe.address_pairs(addresses, GIVEN_ADDRESSES, 0.9, ("row_no", "address1")))
+
+
+@query(
+    f", pairs AS (SELECT md5(concat_ws('|', 'Record', '=' || CAST(l.filing_num AS VARCHAR), '=' || l.name)) AS a, "
+    "md5(concat_ws('|', 'Record', '=' || CAST(r.filing_num AS VARCHAR), '=' || r.name)) AS b, l.filing_num AS fa, "
+    "r.filing_num AS fb, l.name, 1 AS gamma_name FROM fx_master l JOIN fx_master r ON l.name = r.name AND l.filing_num < r.filing_num), "
+    "g AS (SELECT least(a, b) AS unique_id_l, greatest(a, b) AS unique_id_r, CASE WHEN a < b THEN fa ELSE fb END AS filing_num_l, "
+    "CASE WHEN a < b THEN fb ELSE fa END AS filing_num_r, name AS name_l, name AS name_r, gamma_name FROM pairs) "
+    f"SELECT g.* EXCLUDE (gamma_name), {_probability(_odds(GIVEN_NAMES))} AS match_probability, "
+    f"{_probability(_odds(GIVEN_NAMES, tf=True))} AS tf_match_probability FROM g " + _pair_tf("fx_master", "name"),
+    "fx_master",
+)
+def dedupe_names_pairs(spark, sf) -> DataFrame:
+    """Pairs of filings with one name."""
+    return _sixth(dedupe.name_pairs(view(spark, sf, "fx_master"), GIVEN_NAMES, 0.0))
+
+
 # Records and the keys they share: a pair per record and key instead of a pair
 # per two records with the key.
 _STARS = """, links AS (
