@@ -282,11 +282,6 @@ def band_of(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64) if percent < 100 else n
 
 
-def prefix_length(n, percent: int):
-    """Shingles of which a partner at ``percent`` must share one."""
-    return n - (n * percent + 99) // 100 + 1
-
-
 POSTING = pa.schema([(c, pa.int64()) for c in ("tok", "band", "own", "sid", "n", "c", "i")])
 POSTING_SCHEMA = ", ".join(f"{c} long" for c in POSTING.names)
 MET = pa.schema([(c, pa.int64()) for c in ("tok", "sid", "n", "c", "i", "first", "fn", "fc", "fi")])
