@@ -198,18 +198,18 @@ def _packed(spark, sf):
     fill("status_description", F.col("p_name"), small)
     fill("corp_type_id", F.col("p_partkey"), F.lit(True))
     fill("corp_type", F.concat("p_brand", F.lit(", "), "p_type"), F.lit(True))
-    fill("county_id", F.col("p_partkey"), large)
+    fill("selected_county_array", F.col("p_partkey"), large)
     fill("county_name", F.upper("p_name"), large)
-    fill("data_table_id", F.col("p_partkey"), small)
-    fill("data_table_name", F.col("p_type"), small)
-    fill("code_table_id", -F.col("p_partkey") - 1, large)
-    fill("code_table_name", F.col("p_brand"), large)
-    fill("data_field_id", F.col("p_partkey"), small)
-    fill("data_field_table_id", F.col("p_size"), small)
-    fill("data_field_name", F.col("p_name"), small)
-    fill("code_field_id", F.col("p_partkey"), F.lit(True))
-    fill("code_field_table_id", F.col("p_size") + 50, F.lit(True))
-    fill("code_field_name", F.col("p_brand"), F.lit(True))
+    fill("table_id_1", F.col("p_partkey"), small)
+    fill("table_name_1", F.col("p_type"), small)
+    fill("table_id_2", -F.col("p_partkey") - 1, large)
+    fill("table_name_2", F.col("p_brand"), large)
+    fill("field_id_1", F.col("p_partkey"), small)
+    fill("table_id_3", F.col("p_size"), small)
+    fill("field_name_1", F.col("p_name"), small)
+    fill("field_id_2", F.col("p_partkey"), F.lit(True))
+    fill("table_id_4", F.col("p_size") + 50, F.lit(True))
+    fill("field_name_2", F.col("p_brand"), F.lit(True))
     return part.select(*[c.alias(name) for name, c in made.items()])
 
 

@@ -6,31 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-# The columns of the CSV in file order.  Its header repeats some
-# names, so each gets a name of its own.
-CSV_COLUMNS = (
+# The header of the CSV.
+HEADER = (
     "status_id", "status_description",
     "corp_type_id", "corp_type",
-    "nonprofit_subtype_id", "nonprofit_description",
-    "name_status_id", "name_status",
+    "nonprofit_subtype_id", "description_n",
+    "name_status_id", "status",
     "name_type_id", "name_description",
-    "capacity_id", "capacity_description",
-    "data_table_id", "data_table_name", "data_table_description",
-    "code_table_id", "code_table_name", "code_table_description",
-    "data_field_id", "data_field_table_id", "data_field_name",
-    "code_field_id", "code_field_table_id", "code_field_name",
-    "county_id", "county_name",
+    "capacity_id", "corp_type_id_description",
+    "table_id", "table_name", "description_t",
+    "table_id", "table_name", "description_tn",
+    "field_id", "table_id", "field_name",
+    "field_id", "table_id", "field_name",
+    "selected_county_array", "county_name",
+)
+
+# A name that repeats is numbered in file order.
+CSV_COLUMNS = tuple(
+    f"{name}_{HEADER[: i + 1].count(name)}" if HEADER.count(name) > 1 else name for i, name in enumerate(HEADER)
 )
 
 # Code and label column of each domain.
 DOMAINS = {
     "status": ("status_id", "status_description"),
     "corp_type": ("corp_type_id", "corp_type"),
-    "nonprofit_subtype": ("nonprofit_subtype_id", "nonprofit_description"),
-    "name_status": ("name_status_id", "name_status"),
+    "nonprofit_subtype": ("nonprofit_subtype_id", "description_n"),
+    "name_status": ("name_status_id", "status"),
     "name_type": ("name_type_id", "name_description"),
-    "capacity": ("capacity_id", "capacity_description"),
-    "county": ("county_id", "county_name"),
+    "capacity": ("capacity_id", "corp_type_id_description"),
+    "county": ("selected_county_array", "county_name"),
 }
 
 # Registry columns that carry a code, by record type.
@@ -56,26 +60,28 @@ def unpack_code_tables(packed: DataFrame) -> dict[str, DataFrame]:
         for domain, (code, label) in DOMAINS.items()
     }
 
-    def block(kind: str, part: str, columns: dict[str, str]) -> DataFrame:
-        picked = packed.select(*[F.col(f"{part}_{c}").alias(n) for c, n in columns.items()])
-        return picked.where(F.col(f"{kind}_id").isNotNull())
+    def block(columns: dict[str, str]) -> DataFrame:
+        picked = packed.select(*[F.col(c).alias(name) for name, c in columns.items()])
+        return picked.where(F.col(next(iter(columns))).isNotNull())
 
-    table_columns = {
-        "table_id": "table_id", "table_name": "table_name", "table_description": "description",
-    }
-    field_columns = {
-        "field_id": "field_id", "field_table_id": "table_id", "field_name": "field_name",
-    }
-    tables["tables"] = block("table", "data", table_columns).unionByName(
-        block("table", "code", table_columns)
-    )
-    tables["fields"] = block("field", "data", field_columns).unionByName(
-        block("field", "code", field_columns)
-    )
+    tables["tables"] = block(
+        {"table_id": "table_id_1", "table_name": "table_name_1", "description": "description_t"}
+    ).unionByName(block({"table_id": "table_id_2", "table_name": "table_name_2", "description": "description_tn"}))
+    tables["fields"] = block(
+        {"field_id": "field_id_1", "table_id": "table_id_3", "field_name": "field_name_1"}
+    ).unionByName(block({"field_id": "field_id_2", "table_id": "table_id_4", "field_name": "field_name_2"}))
     return tables
 
 
 def read_code_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Unpack the CSV; every value stays text and blanks are null."""
+    """Unpack the CSV; every value stays text and blanks are null.
+
+    Raises ``ValueError`` if the file's header is another one (names that repeat may
+    be numbered).
+    """
+    first = spark.read.text(path).first()
+    found = tuple(first[0].strip().split(",")) if first else HEADER
+    if found not in (HEADER, CSV_COLUMNS):
+        raise ValueError(f"{path} has other columns: {', '.join(found)}")
     packed = spark.read.csv(path, schema=SCHEMA, header=True, enforceSchema=True)
     return unpack_code_tables(packed)

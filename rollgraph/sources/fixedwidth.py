@@ -21,7 +21,6 @@ from rollgraph.sources.layouts import (
     RECORD_TYPES,
     Field,
     layout_fields,
-    slice_fields,
 )
 
 
@@ -60,7 +59,7 @@ def read_fixed_width(
 
 def read_property_roll(spark: SparkSession, path: str) -> DataFrame:
     """The county property roll with its own slices."""
-    return read_fixed_width(spark, path, slice_fields(PROPERTY_ROLL))
+    return read_fixed_width(spark, path, list(PROPERTY_ROLL))
 
 
 @dataclass(frozen=True)
@@ -77,7 +76,7 @@ class Registry:
 
     @property
     def names(self) -> list[str]:
-        return [name for name, text in RECORD_TYPES.values() if text]
+        return [name for name, fields in RECORD_TYPES.values() if fields]
 
     def table(self, name: str) -> DataFrame:
         code = next(code for code, (n, _) in RECORD_TYPES.items() if n == name)
@@ -85,7 +84,7 @@ class Registry:
 
     @property
     def rejects(self) -> DataFrame:
-        known = [code for code, (_, text) in RECORD_TYPES.items() if text]
+        known = [code for code, (_, fields) in RECORD_TYPES.items() if fields]
         fits = (F.length("value") == RECORD_LENGTH) & F.substring("value", 1, 2).isin(*known)
         return self.lines.where(~F.coalesce(fits, F.lit(False)))
 

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -13,17 +14,16 @@ from rollgraph.sources.layouts import (
     RECORD_TYPES,
     Field,
     layout_fields,
-    slice_fields,
 )
 from rollgraph.sources.tables import read_graph, read_registry, write_graph
 
 
 def test_every_layout_fills_the_record():
-    for code, (_, text) in RECORD_TYPES.items():
-        fields = layout_fields(text)
+    for code, (_, layout) in RECORD_TYPES.items():
+        fields = layout_fields(layout)
         assert (fields[-1].end if fields else 0) == (0 if code == "04" else RECORD_LENGTH)
         assert len({f.name for f in fields}) == len(fields)
-    assert len(slice_fields(PROPERTY_ROLL)) == 31
+    assert len(PROPERTY_ROLL) == 31
 
 
 def line(code, **values):
@@ -54,7 +54,7 @@ def test_one_file_many_layouts(spark, tmp_path):
     ]
     assert rows(registry.table("address"), "address1", "zip_code") == [("1 MAIN", "00701")]
     assert registry.rejects.count() == 2
-    assert set(registry.names) == {n for n, text in RECORD_TYPES.values() if text}
+    assert set(registry.names) == {n for n, fields in RECORD_TYPES.values() if fields}
     counts = lkp.reconcile_totals(
         fixedwidth.layout_counts(fixedwidth.read_lines(spark, str(path))),
         registry.table("totals_log"),
@@ -78,7 +78,7 @@ def test_padding_again_gives_the_line_back(spark):
 
 
 def test_property_roll(spark, tmp_path):
-    cells = {f.name: (f.start, f.end) for f in slice_fields(PROPERTY_ROLL)}
+    cells = {f.name: (f.start, f.end) for f in PROPERTY_ROLL}
 
     def record(**values):
         out = [" "] * 4480
@@ -107,13 +107,17 @@ def test_property_roll(spark, tmp_path):
 
 
 def test_code_tables(spark, tmp_path):
-    header = "a,b,a,b," + ",".join(["x"] * 22)
+    header = ",".join(codes.HEADER)
     first = ["1", "Open", "01", "Corp", "", "", "", "", "", "", "", "", "14", "T14", "d", "41", "T41", "d"]
     first += ["265", "14", "F1", "265", "41", "F2", "1", "ANDERSON"]
     second = ["", "", "2", '"Other, foreign"'] + [""] * 22
     path = tmp_path / "codes.csv"
     path.write_text("\n".join([header, ",".join(first), ",".join(second)]) + "\n")
     tables = codes.read_code_tables(spark, str(path))
+    other = tmp_path / "other.csv"
+    other.write_text(header.replace("status_id", "state_id", 1) + "\n")
+    with pytest.raises(ValueError):
+        codes.read_code_tables(spark, str(other))
     assert rows(tables["status"]) == [("1", "Open")]
     assert rows(tables["corp_type"]) == [("01", "Corp"), ("2", "Other, foreign")]
     assert tables["capacity"].count() == 0
