@@ -96,15 +96,16 @@ def build_property_owner_edges(
 
 
 def link_where(
-    left: DataFrame, right: DataFrame, edge_type: str = AT, cells: int = 64
+    left: DataFrame, right: DataFrame, edge_type: str = AT, rows_per_cell: int = 1_000_000
 ) -> DataFrame:
     """One edge from every node of ``left`` to every node of ``right``.
 
     Both sides come already filtered; ``left`` is one named business, so the
-    result is as long as ``right``.  The right side is dealt to ``cells`` by
-    the hash of its id and the left side is repeated in each, which makes this
-    an ordinary hash join.
+    result is as long as ``right``.  The right side is dealt to cells by the hash
+    of its id, as many as its count asks for, and the left side is repeated in
+    each, which makes this an ordinary hash join.
     """
+    cells = max(1, -(-right.count() // rows_per_cell))
     dealt = right.select(
         F.col("id").alias("dst"), F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int").alias("cell")
     )

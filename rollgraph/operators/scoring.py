@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollgraph.operators.agreement import LinkSettings, agreement_groups
+from rollgraph.operators.skew import heavy_from_counts, salted_join
 from rollgraph.session import cut_lineage
 
 FLOOR = 1e-6
-COPIES = 8
-SPREAD = 4096
 
 
 @dataclass(frozen=True)
@@ -172,25 +171,13 @@ def tf_adjust(
     adjusted = [c for c in settings.comparisons if c.term_frequency]
     out, shift = scored, F.lit(0.0)
     for c in adjusted:
-        # Rows that agree on a common value are spread over a few copies of its
-        # frequency; rows that agree on none have nothing to meet and are dealt
-        # out over many tasks.
-        tf = term_frequencies(records, c.column).select(
-            F.col(c.column).alias("_v"),
-            F.col("tf").alias(f"_tf_{c.column}"),
-            F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("_w"),
-        )
+        # Common values are split by their counts; rows that agree on none have nothing
+        # to meet and are dealt out over many tasks.
+        tf = term_frequencies(records, c.column).withColumnRenamed(c.column, "_a")
         agreed = F.when(F.col(f"gamma_{c.column}") == c.equal, F.col(c.column))
-        spread = F.xxhash64(*scored.columns)
-        out = (
-            out.withColumn("_a", agreed)
-            .withColumn(
-                "_s",
-                F.pmod(spread, F.when(F.col("_a").isNull(), SPREAD).otherwise(COPIES)).cast("int"),
-            )
-            .join(tf, (F.col("_a") == F.col("_v")) & (F.col("_s") == F.col("_w")), "left")
-            .drop("_v", "_w", "_a", "_s")
-        )
+        share = tf.select("_a", F.col("tf").alias(f"_tf_{c.column}"))
+        heavy = heavy_from_counts(tf, ["_a"], "n")
+        out = salted_join(out.withColumn("_a", agreed), share, ["_a"], heavy, scored.columns, "left").drop("_a")
         gain = F.lit(float(np.log(weights.u[c.column][c.equal]))) - F.log(f"_tf_{c.column}")
         shift = shift + F.coalesce(gain, F.lit(0.0))
     return out.withColumn(

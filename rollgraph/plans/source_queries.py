@@ -35,6 +35,13 @@ def sample_rows(spark, sf) -> DataFrame:
     return sel.sample_rows(names, 50_000, ["filing_num"])
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_custkey DESC, o_orderkey LIMIT 12000")
+def sample_orders(spark, sf) -> DataFrame:
+    """A sample of fewer rows than there are, too long for one task."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return sel.sample_rows(orders, 12_000, [F.desc("o_custkey"), F.asc("o_orderkey")])
+
+
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority <> ''")
 def non_empty(spark, sf) -> DataFrame:
     priorities = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

@@ -167,7 +167,7 @@ def test_property_owner_edges(frame):
 def test_link_where_is_the_product(frame):
     left = frame([("b",), ("c",)], "id string")
     right = frame([(f"a{i}",) for i in range(7)], "id string")
-    got = adr.link_where(left, right, cells=3)
+    got = adr.link_where(left, right, rows_per_cell=1)
     assert rows(got, "src", "dst") == sorted(
         (s, f"a{i}") for s in "bc" for i in range(7)
     )
@@ -186,10 +186,17 @@ def test_addresses_from_property_are_not_shared(frame):
     assert rows(made.rejects, "id") == [("c",), ("d",)]
 
 
-def test_small_views(frame):
+def test_small_views(frame, monkeypatch):
     df = frame([(i, "x" if i % 2 else None) for i in range(6)], "k int, v string")
     assert rows(sel.top_rows(df, [F.desc("k")], 2), "k") == [(4,), (5,)]
     assert rows(sel.sample_rows(df, 2, ["k"]), "k") == [(0,), (1,)]
+    monkeypatch.setattr(sel, "TOP", 1)
+    long = sel.sample_rows(df, 3, [F.desc("k")])
+    assert "TakeOrdered" not in long._jdf.queryExecution().toString()
+    last = sorted(r[0] for r in df.select("k").collect())
+    for n in (2, 3, 100):
+        assert [k for (k,) in rows(sel.sample_rows(df, n, [F.desc("k")]), "k")] == last[-n:]
+    assert sel.sample_rows(df.where("k < 0"), 3, ["k"]).count() == 0
     assert sel.match_props(df, k=1, v="x").count() == 1
     assert sel.gate_on_total(df, 5).count() == 6 and sel.gate_on_total(df, 6).count() == 0
     assert idx.find_business(frame([("A",), ("A",), ("B",)], "name string"), "A").count() == 2
