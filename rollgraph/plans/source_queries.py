@@ -13,7 +13,7 @@ from rollgraph.plans.fixtures import table, view
 from rollgraph.plans.registry import query
 from rollgraph.session import scratch_path
 from rollgraph.sources import codes, fixedwidth
-from rollgraph.sources.layouts import Field
+from rollgraph.sources.layouts import PROPERTY_ROLL, Field
 from rollgraph.sources.tables import read_table
 
 
@@ -192,6 +192,70 @@ def reconcile_totals(spark, sf) -> DataFrame:
     return lkp.reconcile_totals(fixedwidth.layout_counts(file), totals)
 
 
+# Layouts that the lines above lack, with the table that fills each and its key.
+_OTHERS = {
+    "01": ("delete_all_log", "nation", "n_nationkey"),
+    "05": ("registered_agent_business", "supplier", "s_suppkey"),
+    "06": ("registered_agent_personal", "customer", "c_custkey"),
+    "08": ("charter_officer_personal", "part", "p_partkey"),
+    "09": ("charter_names", "orders", "o_orderkey"),
+    "10": ("associated_entity", "supplier", "s_suppkey"),
+    "11": ("filing_hist", "orders", "o_custkey"),
+    "12": ("audit_log", "customer", "c_nationkey"),
+}
+_FILLED = {
+    **{name: (of, key) for name, of, key in _OTHERS.values()},
+    "master": ("part", "p_partkey"),
+    "address": ("customer", "c_custkey"),
+    "charter_officer_business": ("lineitem", "l_partkey"),
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS record_type, count(*) AS n, CAST(sum({key}) AS BIGINT) AS filings FROM {of}"
+        for name, (of, key) in _FILLED.items()
+    )
+    + " UNION ALL SELECT 'totals_log', 1, 9999999999"
+    + " UNION ALL SELECT 'rejects', count(*), CAST(sum(length(s_name)) + 2 * count(*) AS BIGINT) FROM supplier"
+)
+def bulk_file_layouts(spark, sf) -> DataFrame:
+    """All layouts of a bulk file: written as text, parted in one scan, read back."""
+    path = scratch_path(spark, "bulk")
+    lines = _bulk_lines(spark, sf)
+    for code, (_, of, key) in _OTHERS.items():
+        lines = lines.unionByName(fixedwidth.render_layout(table(spark, sf, of), code, {"filing_num": F.col(key)}))
+    trailer = fixedwidth.render_layout(spark.range(1), "99", {"all_9s": F.lit("9" * 10)})
+    lines.unionByName(trailer).write.text(f"{path}/file")
+    registry = fixedwidth.split_layouts(spark, f"{path}/file", f"{path}/parted")
+    out = registry.rejects.select(F.lit("rejects").alias("record_type"), F.length("value").cast("long").alias("filing"))
+    for name in registry.names:
+        key = "all_9s" if name == "totals_log" else "filing_num"
+        out = out.unionByName(registry.table(name).select(F.lit(name).alias("record_type"), F.col(key).alias("filing")))
+    return out.groupBy("record_type").agg(F.count(F.lit(1)).alias("n"), F.sum("filing").alias("filings"))
+
+
+@query(
+    "SELECT CAST(c_custkey AS VARCHAR) AS prop_id, upper(c_name) AS prop_owner, upper(c_mktsegment) AS mail_city, "
+    "lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS mail_zip, CAST(NULL AS VARCHAR) AS dba FROM customer"
+)
+def property_roll_file(spark, sf) -> DataFrame:
+    """The property roll, written as a text file of its own slices and read back."""
+    values = {
+        "prop_id": F.col("c_custkey").cast("string"), "prop_owner": F.col("c_name"),
+        "mail_city": F.col("c_mktsegment"), "mail_zip": F.lpad(F.col("c_nationkey").cast("string"), 5, "0"),
+    }
+    parts, at = [], 0
+    for field in sorted(PROPERTY_ROLL, key=lambda f: f.start):
+        width = field.end - field.start
+        parts += [F.lit(" " * (field.start - at)), F.rpad(values.get(field.name, F.lit("")), width, " ")]
+        at = field.end
+    path = scratch_path(spark, "roll")
+    table(spark, sf, "customer").select(F.concat(*parts).alias("value")).write.text(path)
+    roll = fixedwidth.read_property_roll(spark, path)
+    return roll.select("prop_id", "prop_owner", "mail_city", "mail_zip", F.col("DBA").alias("dba"))
+
+
 def _packed(spark, sf):
     """Code tables side by side, of different lengths, made of parts."""
     part = table(spark, sf, "part")

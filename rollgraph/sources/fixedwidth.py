@@ -15,6 +15,7 @@ from rollgraph.functions.columns import (
     padded_number,
     sentinel_to_null,
 )
+from rollgraph.session import scratch_path
 from rollgraph.sources.layouts import (
     PROPERTY_ROLL,
     RECORD_LENGTH,
@@ -62,13 +63,22 @@ def read_property_roll(spark: SparkSession, path: str) -> DataFrame:
     return read_fixed_width(spark, path, list(PROPERTY_ROLL))
 
 
+REJECTS = "rejects"
+
+
+def _layout() -> Column:
+    """Layout code of a line, or ``REJECTS`` if it has none or another length."""
+    known = [code for code, (_, fields) in RECORD_TYPES.items() if fields]
+    fits = (F.length("value") == RECORD_LENGTH) & F.substring("value", 1, 2).isin(*known)
+    return F.when(fits, F.substring("value", 1, 2)).otherwise(F.lit(REJECTS)).alias("layout")
+
+
 @dataclass(frozen=True)
 class Registry:
     """A bulk file: one table per layout that has fields, plus what fits none.
 
-    Each table is a filter and a projection over the same scan: reading one
-    table costs one pass and nothing is kept in memory.  To read many of them,
-    write each out once (``write_tables``).
+    Each table is a filter and a projection over ``lines``.  Lines that ``split_layouts``
+    has parted by layout have a ``layout`` column: a table then reads its part only.
     """
 
     lines: DataFrame
@@ -78,15 +88,18 @@ class Registry:
     def names(self) -> list[str]:
         return [name for name, fields in RECORD_TYPES.values() if fields]
 
+    def _part(self, layout: str) -> DataFrame:
+        if "layout" in self.lines.columns:
+            return self.lines.where(F.col("layout") == layout).select("value")
+        return self.lines.where(_layout() == layout)
+
     def table(self, name: str) -> DataFrame:
         code = next(code for code, (n, _) in RECORD_TYPES.items() if n == name)
-        return parse_layout(self.lines, code, self.date_fields)
+        return parse_layout(self._part(code), code, self.date_fields)
 
     @property
     def rejects(self) -> DataFrame:
-        known = [code for code, (_, fields) in RECORD_TYPES.items() if fields]
-        fits = (F.length("value") == RECORD_LENGTH) & F.substring("value", 1, 2).isin(*known)
-        return self.lines.where(~F.coalesce(fits, F.lit(False)))
+        return self._part(REJECTS)
 
 
 def _typed(field: Field, kind: str) -> Column:
@@ -137,8 +150,25 @@ def read_multi_layout(
     return parse_multi_layout(read_lines(spark, path, encoding), date_fields)
 
 
+def split_layouts(
+    spark: SparkSession, path: str, target: str, encoding: str = "ISO-8859-1", date_fields: Sequence[str] = ()
+) -> Registry:
+    """Part a bulk file by layout in one scan: folders ``layout=<code>`` below
+    ``target``, and one for the rejects.  Its tables read their own folder only."""
+    lines = read_lines(spark, path, encoding)
+    lines.select("value", _layout()).write.mode("overwrite").partitionBy("layout").parquet(target)
+    parted = spark.read.schema("value string, layout string").parquet(target)
+    return Registry(parted, tuple(date_fields))
+
+
 def write_tables(registry: Registry, path: str) -> None:
-    """One columnar folder per layout below ``path``; rejects beside them."""
+    """One columnar folder per layout below ``path``; rejects beside them.  Lines that
+    are not parted by layout yet are parted first, so they are read once."""
+    spark = registry.lines.sparkSession
+    if "layout" not in registry.lines.columns:
+        parted = scratch_path(spark, "layouts")
+        registry.lines.select("value", _layout()).write.partitionBy("layout").parquet(parted)
+        registry = Registry(spark.read.schema("value string, layout string").parquet(parted), registry.date_fields)
     for name in registry.names:
         registry.table(name).write.mode("overwrite").parquet(f"{path}/{name}")
     registry.rejects.write.mode("overwrite").parquet(f"{path}/rejects")

@@ -64,6 +64,12 @@ def test_one_file_many_layouts(spark, tmp_path):
     assert got[77] == (1, None, False) and got[5] == (0, 0, True)
     fixedwidth.write_tables(registry, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "master")).count() == 2
+    parted = fixedwidth.split_layouts(spark, str(path), str(tmp_path / "parted"), date_fields=("creation_date",))
+    for name in registry.names:
+        assert rows(parted.table(name)) == rows(registry.table(name))
+    assert rows(parted.rejects) == rows(registry.rejects)
+    plan = parted.table("master")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(layout" in plan and "FileScan text" not in plan
 
 
 def test_padding_again_gives_the_line_back(spark):
