@@ -20,6 +20,7 @@ from rollgraph.operators.index import (
     update_property,
 )
 from rollgraph.operators.links import build_agent_edges, build_officer_edges, union_edges
+from rollgraph.sources.fixedwidth import Registry
 
 
 def group_addresses(
@@ -43,6 +44,20 @@ class EntityGraph(NamedTuple):
     edges: DataFrame
 
 
+def graph_of_registry(registry: Registry, roll: DataFrame | None = None) -> EntityGraph:
+    """The graph of a bulk file that ``split_layouts`` has parted: every table is read
+    from its own part, and of one address the last row of the file wins."""
+    links = ("filing_num", "business_name")
+    return build_graph(
+        registry.table("master").select("filing_num", "name", "corp_type_id"),
+        registry.table("charter_officer_business").select(*links),
+        registry.table("registered_agent_business").select(*links),
+        registry.placed("address"),
+        roll,
+        address_order=("_file", "_place"),
+    )
+
+
 def build_graph(
     master: DataFrame,
     officers: DataFrame,

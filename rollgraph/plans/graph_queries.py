@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,10 @@ from rollgraph.operators import links as lnk
 from rollgraph.operators import merge as mrg
 from rollgraph.operators import select as sel
 from rollgraph.plans.fixtures import view
-from rollgraph.plans.graph import build_graph
+from rollgraph.plans.graph import build_graph, graph_of_registry
 from rollgraph.plans.registry import query
 from rollgraph.session import scratch_path
+from rollgraph.sources import fixedwidth
 from rollgraph.sources.tables import read_graph, write_graph
 
 
@@ -206,6 +209,29 @@ def union_edges(spark, sf) -> DataFrame:
     return _graph(spark, sf).edges
 
 
+@query(
+    "SELECT src, dst, type FROM officer_edges UNION ALL SELECT src, dst, type FROM agent_edges "
+    "UNION ALL SELECT src, dst, type FROM at_edges UNION ALL SELECT src, dst, type FROM owner_edges",
+    "officer_edges", "agent_edges", "at_edges", "owner_edges",
+)
+def bulk_file_edges(spark, sf) -> DataFrame:
+    """From a bulk file to the edges: written as text, parted in one scan, read back."""
+    layouts = {
+        "02": ("fx_master", ("filing_num", "name")),
+        "03": ("fx_address", ("filing_num", "address1", "city", "zip_code", "country")),
+        "05": ("fx_agent", ("filing_num", "business_name")),
+        "07": ("fx_officer", ("filing_num", "business_name")),
+    }
+    lines = [
+        fixedwidth.render_layout(view(spark, sf, source), code, {c: F.col(c) for c in columns})
+        for code, (source, columns) in layouts.items()
+    ]
+    path = scratch_path(spark, "registry")
+    reduce(DataFrame.unionByName, lines).write.text(f"{path}/file")
+    registry = fixedwidth.split_layouts(spark, f"{path}/file", f"{path}/parted")
+    return graph_of_registry(registry, view(spark, sf, "fx_roll")).edges.select("src", "dst", "type")
+
+
 def _graph(spark, sf):
     return build_graph(
         view(spark, sf, "fx_master"),

@@ -97,6 +97,16 @@ class Registry:
         code = next(code for code, (n, _) in RECORD_TYPES.items() if n == name)
         return parse_layout(self._part(code), code, self.date_fields)
 
+    def placed(self, name: str) -> DataFrame:
+        """A table with ``_file`` and ``_place``, the place of each row in the parted
+        files, for steps in which the last row wins."""
+        if "layout" not in self.lines.columns:
+            raise ValueError("part the lines by layout first")
+        code = next(code for code, (n, _) in RECORD_TYPES.items() if n == name)
+        place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place")]
+        lines = self.lines.where(F.col("layout") == code).select("value", *place)
+        return parse_layout(lines, code, self.date_fields, kept=("_file", "_place"))
+
     @property
     def rejects(self) -> DataFrame:
         return self._part(REJECTS)
@@ -116,8 +126,9 @@ def parse_layout(
     code: str,
     date_fields: Sequence[str] = (),
     keep_filler: bool = False,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
-    """Records of one layout as typed columns.
+    """Records of one layout as typed columns, and the ``kept`` ones of the lines.
 
     ``date_fields`` reads further columns as dates, e.g. ``creation_date`` of
     the master layout, which is listed as a number.
@@ -128,7 +139,7 @@ def parse_layout(
         (F.substring("value", 1, 2) == code) & (F.length("value") == RECORD_LENGTH)
     )
     return records.select(
-        *[_typed(f, "D" if f.name in date_fields else f.kind).alias(f.name) for f in wanted]
+        *[_typed(f, "D" if f.name in date_fields else f.kind).alias(f.name) for f in wanted], *kept
     )
 
 
