@@ -41,7 +41,8 @@ LONG_WORD = 256
 HASHED = 1 << 15
 SEQUENCES = 12_000  # training sequences a round
 BLOCK = 32
-_CELLS = 1 << 20  # numbers of n-gram weights in memory at once
+_CELLS = 1 << 18  # numbers of n-gram weights in memory at once
+_SLICE = 1 << 20  # bytes of text whose words are in memory at once
 RESULT_SCHEMA = "lang_pred string, score double"
 
 _LETTER = np.zeros(256, bool)
@@ -316,11 +317,11 @@ def learn_languages(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Fie
     return _train(texts, labels) if texts else None
 
 
-def _predict(batches: Iterator[pa.RecordBatch], field: Field | None) -> Iterator[pa.RecordBatch]:
-    """The other columns of each batch, with label and score of its last one."""
-    limit = w.SLICE_BYTES // max(1, len(field.labels) // 8) if field else w.SLICE_BYTES
+def _predict(batches: Iterator[pa.RecordBatch], field: Field | None, at: int, kept: int) -> Iterator[pa.RecordBatch]:
+    """The first ``kept`` columns of each batch, with label and score of the texts ``at``."""
+    limit = _SLICE // max(1, len(field.labels) // 8) if field else _SLICE
     for batch in batches:
-        text = batch.column(batch.num_columns - 1)
+        text = batch.column(at)
         names, scores = [], []
         for _, _, data, bounds in w.text_slices(text, limit):
             rows = len(bounds) - 1
@@ -346,16 +347,18 @@ def _predict(batches: Iterator[pa.RecordBatch], field: Field | None) -> Iterator
             known = lettered & (whole > 0)
             names += [field.labels[b] if ok else "und" for b, ok in zip(best, known)]
             scores += np.where(known, np.clip(share, 0, 1), 0.0).tolist()
-        columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+        columns = [*batch.columns[:kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:kept], "lang_pred", "score"])
 
 
 def predict_languages(documents: DataFrame, field: Field | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns with lang_pred and score of every row."""
     names = [c for c in keep if c not in ("lang_pred", "score")]
-    given = documents.select(*names, F.col("text").alias("_text"))
+    # A text that is kept goes to the worker once.
+    given = documents.select(*names) if "text" in names else documents.select(*names, F.col("text").alias("_text"))
+    at = names.index("text") if "text" in names else len(names)
     kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in names)
-    return given.mapInArrow(lambda it: _predict(it, field), f"{kinds}, {RESULT_SCHEMA}")
+    return given.mapInArrow(lambda it: _predict(it, field, at, len(names)), f"{kinds}, {RESULT_SCHEMA}")
 
 
 def word_languages(text: str, field: Field) -> list[tuple[str, str]]:
