@@ -20,7 +20,7 @@ from rollgraph.operators.index import (
     update_property,
 )
 from rollgraph.operators.links import build_agent_edges, build_officer_edges, union_edges
-from rollgraph.sources.fixedwidth import Registry
+from rollgraph.sources.fixedwidth import PLACE, Registry
 
 
 def group_addresses(
@@ -54,7 +54,7 @@ def graph_of_registry(registry: Registry, roll: DataFrame | None = None) -> Enti
         registry.table("registered_agent_business").select(*links),
         registry.placed("address"),
         roll,
-        address_order=("_file", "_place"),
+        address_order=PLACE,
     )
 
 

@@ -64,6 +64,7 @@ def read_property_roll(spark: SparkSession, path: str) -> DataFrame:
 
 
 REJECTS = "rejects"
+PLACE = ("_file", "_block", "_line")  # file, split of the file, order within a task
 
 
 def _layout() -> Column:
@@ -98,14 +99,13 @@ class Registry:
         return parse_layout(self._part(code), code, self.date_fields)
 
     def placed(self, name: str) -> DataFrame:
-        """A table with ``_file`` and ``_place``, the place of each row in the parted
-        files, for steps in which the last row wins."""
-        if "layout" not in self.lines.columns:
-            raise ValueError("part the lines by layout first")
+        """A table with the columns of ``PLACE``, the place of each row in the bulk file,
+        for steps in which the last row wins."""
+        if not set(PLACE) <= set(self.lines.columns):
+            raise ValueError("part the file by layout first")
         code = next(code for code, (n, _) in RECORD_TYPES.items() if n == name)
-        place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place")]
-        lines = self.lines.where(F.col("layout") == code).select("value", *place)
-        return parse_layout(lines, code, self.date_fields, kept=("_file", "_place"))
+        lines = self.lines.where(F.col("layout") == code).select("value", *PLACE)
+        return parse_layout(lines, code, self.date_fields, kept=PLACE)
 
     @property
     def rejects(self) -> DataFrame:
@@ -166,9 +166,13 @@ def split_layouts(
 ) -> Registry:
     """Part a bulk file by layout in one scan: folders ``layout=<code>`` below
     ``target``, and one for the rejects.  Its tables read their own folder only."""
-    lines = read_lines(spark, path, encoding)
-    lines.select("value", _layout()).write.mode("overwrite").partitionBy("layout").parquet(target)
-    parted = spark.read.schema("value string, layout string").parquet(target)
+    place = ["_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id()]
+    lines = spark.read.text(path).select(
+        F.decode(F.col("value").cast("binary"), encoding).alias("value"),
+        *[(F.col(p) if isinstance(p, str) else p).alias(name) for p, name in zip(place, PLACE)],
+    )
+    lines.withColumn("layout", _layout()).write.mode("overwrite").partitionBy("layout").parquet(target)
+    parted = spark.read.schema("value string, _file string, _block long, _line long, layout string").parquet(target)
     return Registry(parted, tuple(date_fields))
 
 

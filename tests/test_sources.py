@@ -68,6 +68,8 @@ def test_one_file_many_layouts(spark, tmp_path):
     for name in registry.names:
         assert rows(parted.table(name)) == rows(registry.table(name))
     assert rows(parted.rejects) == rows(registry.rejects)
+    placed = parted.placed("master").orderBy(*fixedwidth.PLACE)
+    assert [r["filing_num"] for r in placed.collect()] == [17, 18]
     plan = parted.table("master")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(layout" in plan and "FileScan text" not in plan
 
