@@ -227,7 +227,7 @@ def bulk_file_edges(spark, sf) -> DataFrame:
         for code, (source, columns) in layouts.items()
     ]
     path = scratch_path(spark, "registry")
-    reduce(DataFrame.unionByName, lines).write.text(f"{path}/file")
+    fixedwidth.write_lines(reduce(DataFrame.unionByName, lines), f"{path}/file")
     registry = fixedwidth.split_layouts(spark, f"{path}/file", f"{path}/parted")
     return graph_of_registry(registry, view(spark, sf, "fx_roll")).edges.select("src", "dst", "type")
 

@@ -65,6 +65,8 @@ def read_property_roll(spark: SparkSession, path: str) -> DataFrame:
 
 REJECTS = "rejects"
 PLACE = ("_file", "_block", "_line")  # file, split of the file, order within a task
+LINES_PER_FILE = 100_000  # a compressed file is read by one task
+ROW_GROUP_BYTES = 16 << 20
 
 
 def _layout() -> Column:
@@ -112,6 +114,22 @@ class Registry:
         return self._part(REJECTS)
 
 
+def _part_by_layout(lines: DataFrame, target: str) -> None:
+    """``lines`` with a ``layout`` column, one folder per layout below ``target``.
+
+    A task keeps one open file per layout instead of sorting its lines by layout, so
+    nothing is spilled; row groups are small, since a task holds one for each of them.
+    """
+    spark, writers = lines.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, str(len(RECORD_TYPES) + 1))
+    try:
+        options = {"compression": "zstd", "parquet.block.size": str(ROW_GROUP_BYTES)}
+        lines.write.mode("overwrite").options(**options).partitionBy("layout").parquet(target)
+    finally:
+        spark.conf.set(writers, before)
+
+
 def _typed(field: Field, kind: str) -> Column:
     text = cut(F.col("value"), field.start, field.end)
     if kind == "N":
@@ -171,7 +189,7 @@ def split_layouts(
         F.decode(F.col("value").cast("binary"), encoding).alias("value"),
         *[(F.col(p) if isinstance(p, str) else p).alias(name) for p, name in zip(place, PLACE)],
     )
-    lines.withColumn("layout", _layout()).write.mode("overwrite").partitionBy("layout").parquet(target)
+    _part_by_layout(lines.withColumn("layout", _layout()), target)
     parted = spark.read.schema("value string, _file string, _block long, _line long, layout string").parquet(target)
     return Registry(parted, tuple(date_fields))
 
@@ -182,13 +200,19 @@ def write_tables(registry: Registry, path: str) -> None:
     spark = registry.lines.sparkSession
     if "layout" not in registry.lines.columns:
         parted = scratch_path(spark, "layouts")
-        registry.lines.select("value", _layout()).write.partitionBy("layout").parquet(parted)
+        _part_by_layout(registry.lines.select("value", _layout()), parted)
         registry = Registry(spark.read.schema("value string, layout string").parquet(parted), registry.date_fields)
     for name in registry.names:
         registry.table(name).write.mode("overwrite").parquet(f"{path}/{name}")
     registry.rejects.write.mode("overwrite").parquet(f"{path}/rejects")
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Lines as a text file in compressed pieces: most of a fixed-width line is padding."""
+    options = {"compression": "gzip", "maxRecordsPerFile": LINES_PER_FILE}
+    lines.write.options(**options).text(path)
+
+
 def render_layout(df: DataFrame, code: str, values: dict[str, Column]) -> DataFrame:
     """Full-length lines of one layout; fields without a value are padding.
 

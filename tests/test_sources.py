@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from rollgraph.operators import lookups as lkp
+from rollgraph.plans import graph_queries, source_queries
+from rollgraph.plans.registry import QUERIES
 from rollgraph.sources import codes, fixedwidth
 from rollgraph.sources.layouts import (
     PROPERTY_ROLL,
@@ -158,3 +160,57 @@ def test_graph_is_overwritten_and_scans_are_pruned(spark, tmp_path, frame):
     scan = read_registry(spark, str(tmp_path / "reg"), "names")
     assert "other" not in scan._jdf.queryExecution().executedPlan().toString()
     assert rows(scan) == [("A", 1)]
+
+
+def small_tables(spark, folder, n=3000):
+    """``n`` lines of officers of ``n / 10`` businesses, and what goes with them."""
+    k = F.col("id")
+    tables = {
+        "part": spark.range(n // 10).select(
+            k.alias("p_partkey"), F.concat(F.lit("name "), k % 40).alias("p_name"), F.lit("ty").alias("p_type"),
+            (k % 50).cast("int").alias("p_size"),
+        ),
+        "customer": spark.range(n // 10).select(
+            k.alias("c_custkey"), F.concat(F.lit("c"), k).alias("c_name"), (k % 5).alias("c_nationkey"),
+            F.lit("seg").alias("c_mktsegment"),
+        ),
+        "supplier": spark.range(n // 100).select(k.alias("s_suppkey"), F.concat(F.lit("s"), k).alias("s_name")),
+        "orders": spark.range(n // 4).select(k.alias("o_orderkey"), (k % 300).alias("o_custkey")),
+        "nation": spark.range(5).select(k.alias("n_nationkey"), F.concat(F.lit("n"), k).alias("n_name")),
+        "lineitem": spark.range(n).select(
+            (k % 300).alias("l_partkey"), (k % 30).alias("l_suppkey"), (k % 7).cast("int").alias("l_linenumber"),
+            F.when(k % 3 == 0, "R").otherwise("N").alias("l_returnflag"),
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["bulk_file_edges"])
+def test_a_bulk_file_takes_little_disk(spark, tmp_path, monkeypatch, name):
+    scratch = tmp_path / "scratch"
+    for module in (source_queries, graph_queries):
+        monkeypatch.setattr(module, "scratch_path", lambda spark, label: str(scratch))
+    monkeypatch.setattr(fixedwidth, "LINES_PER_FILE", 500)
+    sf = small_tables(spark, str(tmp_path / "sf"))
+    kind = "type" if name == "bulk_file_edges" else "record_type"
+    assert QUERIES[name](spark, sf).select(kind).distinct().count() > 3
+    raw = fixedwidth.read_lines(spark, f"{scratch}/file").agg(F.sum(F.length("value") + 1)).first()[0]
+    files = list((scratch / "file").glob("part-*"))
+    used = sum(f.stat().st_size for f in scratch.rglob("part-*"))
+    assert raw > 2_000_000 and used < raw / 8
+    assert all(spark.read.text(str(f)).count() <= 500 for f in files[:3])
+
+
+def test_lines_are_parted_without_a_sort_and_the_setting_is_put_back(spark, tmp_path):
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    lines = [line(code, filing_num=str(at)) for at in range(40) for code in ("02", "03", "07")] + ["none"]
+    before = spark.conf.get(writers)
+    fixedwidth.write_lines(spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1), str(tmp_path / "f"))
+    parted = fixedwidth.split_layouts(spark, str(tmp_path / "f"), str(tmp_path / "p"))
+    assert spark.conf.get(writers) == before
+    assert parted.rejects.count() == 1
+    for name in ("master", "address", "charter_officer_business"):
+        placed = parted.placed(name).orderBy(*fixedwidth.PLACE)
+        assert [r["filing_num"] for r in placed.collect()] == list(range(40))
