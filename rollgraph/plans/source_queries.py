@@ -226,7 +226,7 @@ def bulk_file_layouts(spark, sf) -> DataFrame:
     for code, (_, of, key) in _OTHERS.items():
         lines = lines.unionByName(fixedwidth.render_layout(table(spark, sf, of), code, {"filing_num": F.col(key)}))
     trailer = fixedwidth.render_layout(spark.range(1), "99", {"all_9s": F.lit("9" * 10)})
-    lines.unionByName(trailer).write.text(f"{path}/file")
+    fixedwidth.write_lines(lines.unionByName(trailer), f"{path}/file")
     registry = fixedwidth.split_layouts(spark, f"{path}/file", f"{path}/parted")
     out = registry.rejects.select(F.lit("rejects").alias("record_type"), F.length("value").cast("long").alias("filing"))
     for name in registry.names:
@@ -251,7 +251,7 @@ def property_roll_file(spark, sf) -> DataFrame:
         parts += [F.lit(" " * (field.start - at)), F.rpad(values.get(field.name, F.lit("")), width, " ")]
         at = field.end
     path = scratch_path(spark, "roll")
-    table(spark, sf, "customer").select(F.concat(*parts).alias("value")).write.text(path)
+    fixedwidth.write_lines(table(spark, sf, "customer").select(F.concat(*parts).alias("value")), path)
     roll = fixedwidth.read_property_roll(spark, path)
     return roll.select("prop_id", "prop_owner", "mail_city", "mail_zip", F.col("DBA").alias("dba"))
 

@@ -187,7 +187,7 @@ def small_tables(spark, folder, n=3000):
     return folder
 
 
-@pytest.mark.parametrize("name", ["bulk_file_edges"])
+@pytest.mark.parametrize("name", ["bulk_file_layouts", "bulk_file_edges"])
 def test_a_bulk_file_takes_little_disk(spark, tmp_path, monkeypatch, name):
     scratch = tmp_path / "scratch"
     for module in (source_queries, graph_queries):
