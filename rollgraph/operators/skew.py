@@ -142,3 +142,41 @@ def pairs_within(
         (F.col("_i") < F.col("_j")) | (F.col(f"{id_col}_l") < F.col(f"{id_col}_r"))
     )
     return met.drop("_i", "_j")
+
+
+def pairs_between(
+    df: DataFrame,
+    keys: Sequence[str],
+    side: str,
+    id_col: str,
+    payload: Sequence[str],
+    rows_per_cell: int = 5_000,
+) -> DataFrame:
+    """Pairs of a row with a true ``side`` and one with a false ``side`` sharing ``keys``.
+
+    Cells as in ``pairs_within``, with chunks of either side.
+    Columns: ``keys``, then ``<c>_l`` (true) and ``<c>_r`` for the id and the payload.
+    """
+    sizes = (
+        df.groupBy(*keys)
+        .agg(F.count_if(F.col(side)).alias("_n_l"), F.count_if(~F.col(side)).alias("_n_r"))
+        .where("_n_l > 0 and _n_r > 0")
+        .withColumn("_n", F.col("_n_l") + F.col("_n_r"))
+    )
+    heavy = heavy_from_counts(sizes, keys, "_n")
+    cols = [id_col, *payload]
+
+    def chunks(n: str) -> Column:
+        return F.ceil(F.col(n) / rows_per_cell).cast("int")
+
+    chunked = salted_join(df.select(*keys, side, *cols), sizes, keys, heavy, [id_col])
+
+    def half(is_left: bool) -> DataFrame:
+        own, other, mine, met, end = ("_n_l", "_n_r", "_i", "_j", "l") if is_left else ("_n_r", "_n_l", "_j", "_i", "r")
+        rows = chunked.where(F.col(side) if is_left else ~F.col(side))
+        return rows.withColumn(mine, F.pmod(F.xxhash64(id_col), chunks(own)).cast("int")).select(
+            *keys, mine, F.explode(F.sequence(F.lit(0), chunks(other) - 1)).alias(met),
+            *[F.col(c).alias(f"{c}_{end}") for c in cols],
+        )
+
+    return half(True).join(half(False), [*keys, "_i", "_j"]).drop("_i", "_j")

@@ -9,7 +9,6 @@ from rollgraph.functions.columns import stable_id
 from rollgraph.operators.agreement import Comparison, LinkSettings
 from rollgraph.operators.pairs import list_pairs
 from rollgraph.operators.scoring import Weights, scored_comparisons
-from rollgraph.session import cut_lineage
 
 NAMES = LinkSettings(
     comparisons=(Comparison("name", term_frequency=True),),
@@ -42,21 +41,26 @@ def dedupe_addresses(addresses: DataFrame, weights: Weights | None = None) -> Da
 
 
 def record_pairs(
-    records: DataFrame, settings: LinkSettings, weights: Weights | None = None, least: float = 0.5
-) -> DataFrame:
+    records: DataFrame, settings: LinkSettings, weights: Weights | None = None, least: float = 0.5, digits: int | None = None
+) -> DataFrame:
     """All record pairs of the scored groups with a match probability of ``least`` or
-    more, one row each.  The groups say beforehand how many: the sum of ``n_pairs``."""
-    scored = cut_lineage(scored_comparisons(records, settings, weights))
-    return list_pairs(scored.where(F.col("match_probability") >= least), records, settings)
+    more, one row each.  The groups say beforehand how many: the sum of ``n_pairs``.
+    ``digits`` rounds the scores, once per group and not once per pair."""
+    chosen = scored_comparisons(records, settings, weights).where(F.col("match_probability") >= least)
+    if digits is not None:
+        chosen = chosen.withColumns({c: F.round(c, digits) for c in ("match_probability", "tf_match_probability")})
+    return list_pairs(chosen, records, settings)
 
 
-def name_pairs(master: DataFrame, weights: Weights | None = None, least: float = 0.5) -> DataFrame:
+def name_pairs(
+    master: DataFrame, weights: Weights | None = None, least: float = 0.5, digits: int | None = None
+) -> DataFrame:
     """Pairs of filings whose names are likely one business."""
-    return record_pairs(with_unique_id(master, "filing_num", "name"), NAMES, weights, least)
+    return record_pairs(with_unique_id(master, "filing_num", "name"), NAMES, weights, least, digits)
 
 
 def address_pairs(
-    addresses: DataFrame, weights: Weights | None = None, least: float = 0.5, keys: tuple[str, ...] = ("filing_num", "address1", "city", "zip_code")
+    addresses: DataFrame, weights: Weights | None = None, least: float = 0.5, keys: tuple[str, ...] = ("filing_num", "address1", "city", "zip_code"), digits: int | None = None
 ) -> DataFrame:
     """Pairs of address rows that are likely one place; ``keys`` tell rows apart."""
-    return record_pairs(with_unique_id(addresses, *keys), ADDRESSES, weights, least)
+    return record_pairs(with_unique_id(addresses, *keys), ADDRESSES, weights, least, digits)

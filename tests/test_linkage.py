@@ -14,8 +14,8 @@ from rollgraph.operators import agreement as agr
 from rollgraph.operators import scoring as sco
 from rollgraph.operators.pairs import list_pairs
 from rollgraph.operators.similar import similar_values
-from rollgraph.operators.skew import pairs_within
-from rollgraph.plans import dedupe
+from rollgraph.operators.skew import pairs_between, pairs_within
+from rollgraph.plans import dedupe, link_queries
 from rollgraph.session import cut_lineage
 
 
@@ -255,3 +255,42 @@ def test_listed_pairs_are_the_pairs_of_the_chosen_groups(frame, name):
         assert all(a < b and f == a + 1000 for a, b, f in got)
     low = listed.agg(F.min("match_probability")).first()[0]
     assert low is None or low > 0.5
+
+
+def test_pairs_between_meets_every_pair_of_two_sides_once(frame):
+    data = [(k, i, i % 3 == 0) for k in "ab" for i in range(40)] + [("c", 1, True)]
+    df = frame(data, "k string, i int, s boolean")
+    want = sorted(((k, i, j) for k, i, s in data for h, j, t in data if k == h and s and not t), key=repr)
+    for cell in (1, 7, 100):
+        assert rows(pairs_between(df, ["k"], "s", "i", [], rows_per_cell=cell), "k", "i_l", "i_r") == want
+
+
+PARTS_SCHEMA = "unique_id int, filing_num int, name string, brand string, city string, size int"
+
+
+def test_similar_groups_meet_only_the_records_of_their_two_values(frame):
+    names = ["ACME SUPPLY", "ACME SUPLY"] + [f"{a}{b} {b}{a}" * 2 for a in "QXZJK" for b in "WVUT"]
+    data = [(i, i + 1000, names[i % len(names)], "b", "c", 1) for i in range(110)]
+    data += [(0, 1000, names[1], "b", "c", 1), (None, 5, names[0], "b", "c", 1)]  # an id of two rows, and none
+    df = frame(data, PARTS_SCHEMA)
+    weights = link_queries.GIVEN
+    scored = cut_lineage(sco.scored_comparisons(df, link_queries.PARTS, weights))
+    listed = list_pairs(scored.where("gamma_name = 1 and name_l = 'ACME SUPLY'"), df, link_queries.PARTS)
+    want = {
+        tuple(sorted((a[0], b[0]))) for a in data for b in data
+        if a[2] == names[0] and b[2] == names[1] and None not in (a[0], b[0]) and a[0] != b[0]
+    }
+    got = rows(listed, "unique_id_l", "unique_id_r")
+    assert set(got) == want and len(got) == len(want) == 29
+    # The values are known to be similar: nothing is compared again, pair by pair.
+    assert "ArrowEvalPython" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_are_rounded_and_joined_before_the_pairs_are_listed(frame):
+    df = frame([(i, f"n{i % 3}") for i in range(30)], "filing_num int, name string")
+    listed = dedupe.name_pairs(df, link_queries.GIVEN_NAMES, 0.0, digits=6)
+    assert listed.count() == 3 * 45
+    assert {r[0] for r in listed.select(F.length(F.col("match_probability").cast("string"))).collect()} <= {8}
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
+    assert "_i#" in next(row for row in plan.splitlines() if " Join " in row)  # the cells come last
