@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from itertools import combinations
 
 import pandas as pd
@@ -294,3 +295,29 @@ def test_scores_are_rounded_and_joined_before_the_pairs_are_listed(frame):
     plan = listed._jdf.queryExecution().optimizedPlan().toString()
     assert "round(" not in plan
     assert "_i#" in next(row for row in plan.splitlines() if " Join " in row)  # the cells come last
+
+
+def test_records_are_not_broadcast_to_list_pairs(spark, tmp_path):
+    # The file holds repeated values: it looks small, whatever its records take.
+    data = spark.range(20_000).selectExpr(
+        "id AS unique_id", "id AS filing_num", "'acme' AS name", "'b' AS brand", "string(id % 10000) AS city", "1 AS size"
+    )
+    data.write.parquet(str(tmp_path / "parts"))
+    df = spark.read.parquet(str(tmp_path / "parts"))
+    scored = cut_lineage(sco.scored_comparisons(df, link_queries.PARTS, link_queries.GIVEN))
+    listed = list_pairs(scored, df, link_queries.PARTS)
+    plan = listed._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [_key#" in plan
+    assert not re.search(r"BroadcastHashJoin \[_key#\d+\], \[_key#\d+\], Inner", plan)
+    assert listed.count() == 10_000
+
+
+def test_records_get_the_keys_of_the_wanted_groups_only(frame):
+    df = frame([(i, i, "acme", "b", "c", i % 2) for i in range(20)], PARTS_SCHEMA)
+    scored = cut_lineage(sco.scored_comparisons(df, link_queries.PARTS, link_queries.GIVEN))
+    listed = list_pairs(scored.where("gamma_name = 2 and gamma_size = 1"), df, link_queries.PARTS)
+    assert listed.count() == 2 * 45
+    # One set of columns agrees, so each record has one key.
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"explode\(array\((.*?)\)\), \[", plan)
+    assert all(k.count("to_json") + k.count("StructsToJson") <= 1 for k in keys)
