@@ -13,9 +13,10 @@ from conftest import rows
 from rollgraph.functions.similarity import jaro_winkler_batch
 from rollgraph.operators import agreement as agr
 from rollgraph.operators import scoring as sco
+from rollgraph.operators import skew
 from rollgraph.operators.pairs import list_pairs
 from rollgraph.operators.similar import similar_values
-from rollgraph.operators.skew import pairs_between, pairs_within
+from rollgraph.operators.skew import pairs_between, pairs_in_runs, pairs_within
 from rollgraph.plans import dedupe, link_queries
 from rollgraph.session import cut_lineage
 
@@ -321,3 +322,27 @@ def test_records_get_the_keys_of_the_wanted_groups_only(frame):
     plan = listed._jdf.queryExecution().optimizedPlan().toString()
     keys = re.findall(r"explode\(array\((.*?)\)\), \[", plan)
     assert all(k.count("to_json") + k.count("StructsToJson") <= 1 for k in keys)
+
+
+@pytest.mark.parametrize("cell", [1, 7, 50, 1000])
+def test_pairs_in_runs_are_all_pairs_once_with_the_smaller_id_first(frame, monkeypatch, cell):
+    monkeypatch.setattr(skew, "RUN_L", 3)
+    monkeypatch.setattr(skew, "RUN_R", 5)
+    data = [(k, f"{i * 37 % 101:03}", i, k * 2) for k in "ab" for i in range(60)]
+    data += [("c", "1", 0, "cc"), ("a", "005", 99, "aa"), ("a", None, 7, "aa"), (None, "1", 1, "x"), (None, "2", 2, "x")]
+    df = frame(data, "k string, i string, p int, s string")
+    want = sorted(
+        ((k, s, a, b, p, q) for k, a, p, s in data for h, b, q, _ in data
+         if k is not None and k == h and None not in (a, b) and a < b), key=repr
+    )
+    for expected in (10, 30_000_000):  # as few tasks as may be, and more
+        got = pairs_in_runs(df, ["k"], "i", ["p"], ["s"], expected, rows_per_cell=cell)
+        assert rows(got, "k", "s", "i_l", "i_r", "p_l", "p_r") == want
+
+
+def test_listed_pairs_take_little_room_in_a_file(spark, tmp_path):
+    names = spark.range(3_000).select(F.col("id").alias("filing_num"), F.lit("acme").alias("name"))
+    dedupe.name_pairs(names, link_queries.GIVEN_NAMES, 0.0).write.parquet(str(tmp_path / "pairs"))
+    assert spark.read.parquet(str(tmp_path / "pairs")).count() == 3_000 * 2_999 // 2
+    size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert size < 3_000 * 2_999 // 2  # less than a byte a pair
